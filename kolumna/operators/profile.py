@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from kolumna.functions import value_types as vt
 from kolumna.operators.cells import KEYS
 from kolumna.operators.metadata import in_rank_order, ranked
+from kolumna.operators.steps import computed
 
 TYPE_KEYS = [*KEYS, "type"]
 STAMP = "MM/dd/yyyy, HH:mm:ss"
@@ -29,15 +30,15 @@ def with_types(rows: DataFrame, first_year: int = 1850, last_year: int = 2019) -
     value = F.col("value")
     plain = vt.plain_number(value)
     date_name = vt.is_date_name(F.col("column_name"))
-    dated = rows.withColumn("moment", F.when(date_name, vt.date(value, first_year, last_year)))
+    dated = computed(rows, moment=F.when(date_name, vt.date(value)))
     kind = (
         F.when(value.isNull(), None)
-        .when(date_name, F.when(F.col("moment").isNotNull(), vt.DATE))
+        .when(date_name, F.when(vt.in_years(F.col("moment"), first_year, last_year), vt.DATE))
         .when(vt.is_real(value), vt.REAL)
         .when(vt.is_integer(value), vt.INTEGER)
         .otherwise(vt.TEXT)
     )
-    typed = dated.withColumn("type", kind)
+    typed = computed(dated, type=kind)
     numeric = F.col("type").isin(vt.REAL, vt.INTEGER)
     return typed.select(
         *KEYS,
@@ -46,19 +47,20 @@ def with_types(rows: DataFrame, first_year: int = 1850, last_year: int = 2019) -
         "type",
         F.when(numeric, plain.try_cast("double")).alias("number"),
         F.when(F.col("type") == vt.INTEGER, plain.try_cast("decimal(38,0)")).alias("whole"),
-        "moment",
+        F.when(F.col("type") == vt.DATE, F.col("moment")).alias("moment"),
     )
 
 
 def summaries(typed: DataFrame) -> DataFrame:
     """The figures of every type in every column, in one pass.
 
-    Values of equal weight are summarised by Spark's own stable aggregates; a column has few
+    Values without a type form a row with a null type. Values of equal weight are summarised by Spark's own stable aggregates; a column has few
     different weights (at most the square root of twice its cells), and those summaries are then
     merged around the common mean.
     """
-    same_weight = typed.where(F.col("type").isNotNull()).groupBy(*TYPE_KEYS, "n").agg(
+    same_weight = typed.groupBy(*TYPE_KEYS, "n").agg(
         F.count("*").alias("values"),
+        F.count("type").alias("typed"),
         F.avg("number").alias("part_mean"),
         F.stddev_pop("number").alias("part_stddev"),
         F.sum(F.length("value")).alias("part_length"),
@@ -72,6 +74,7 @@ def summaries(typed: DataFrame) -> DataFrame:
     spread = F.col("part_stddev") * F.col("part_stddev") + F.pow(F.col("part_mean") - F.col("mean"), 2)
     return around.groupBy(*TYPE_KEYS).agg(
         F.sum("weight").alias("count"),
+        F.sum("typed").alias("count_typed"),
         F.max("mean").alias("mean"),
         F.sqrt(F.sum(weight * spread) / F.sum("weight")).alias("stddev"),
         (F.sum(F.col("n") * F.col("part_length")) / F.sum("weight")).alias("average_length"),
@@ -129,7 +132,7 @@ def type_stats(typed_frequencies: DataFrame) -> DataFrame:
     """
     kind = F.col("type")
     latest, earliest = _date_extremes()
-    figures = summaries(typed_frequencies).select(
+    figures = summaries(typed_frequencies).where(F.col("count_typed") > 0).select(
         *TYPE_KEYS,
         "count",
         F.col("max_number").alias("max_value"),

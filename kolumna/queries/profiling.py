@@ -10,6 +10,7 @@ from kolumna.operators import itemsets, metadata, profile
 from kolumna.plans import profile_report
 from kolumna.queries.data import cells_sql, dataset, dataset_cells, frequencies_sql
 
+TYPED = ("customer", "part", "orders", "events", "messy")
 SMALL = ("nation", "customer", "part", "orders", "messy")
 ALL = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -101,22 +102,22 @@ QUERIES = {
     .groupBy(*c.KEYS, "type")
     .agg(F.sum("n").alias("n"), F.max("whole").cast("double").alias("max_whole"), F.max("moment").alias("max_moment")),
     "integer_stats": lambda spark, sf: number_stats(profile.integer_stats(typed_cells(spark, sf, *ALL))),
-    "real_stats": lambda spark, sf: number_stats(profile.real_stats(typed_cells(spark, sf, *ALL))),
+    "real_stats": lambda spark, sf: number_stats(profile.real_stats(typed_cells(spark, sf, *TYPED))),
     "integer_stats_of_frequencies": lambda spark, sf: number_stats(
         profile.integer_stats(typed_frequencies(spark, sf, *SMALL))
     ),
-    "date_stats": lambda spark, sf: profile.date_stats(typed_cells(spark, sf, *ALL)),
+    "date_stats": lambda spark, sf: profile.date_stats(typed_cells(spark, sf, *TYPED)),
     "text_stats": text_stats,
     "column_records": column_records,
-    "column_itemsets": lambda spark, sf: itemsets.column_itemsets(typed_cells(spark, sf, *ALL)),
+    "column_itemsets": lambda spark, sf: itemsets.column_itemsets(typed_cells(spark, sf, *TYPED)),
     "dataset_itemsets": lambda spark, sf: itemsets.dataset_itemsets(
-        itemsets.column_itemsets(typed_cells(spark, sf, *ALL))
+        itemsets.column_itemsets(typed_cells(spark, sf, *TYPED))
     ),
     "total_itemsets": lambda spark, sf: itemsets.total_itemsets(
-        itemsets.dataset_itemsets(itemsets.column_itemsets(typed_cells(spark, sf, *ALL)))
+        itemsets.dataset_itemsets(itemsets.column_itemsets(typed_cells(spark, sf, *TYPED)))
     ),
     "most_frequent_itemsets": lambda spark, sf: itemsets.most_frequent_itemsets(
-        itemsets.total_itemsets(itemsets.dataset_itemsets(itemsets.column_itemsets(typed_cells(spark, sf, *ALL))))
+        itemsets.total_itemsets(itemsets.dataset_itemsets(itemsets.column_itemsets(typed_cells(spark, sf, *TYPED))))
     ),
 }
 
@@ -157,16 +158,16 @@ def number_sql(kind, *names):
       from ({typed_sql(*names)}) where type = '{kind}' group by all"""
 
 
-def itemset_sql():
+def itemset_sql(*names):
     return f"""select dataset, column_name,
         concat(case when bool_or(type = 'REAL') then '-REAL-' else '' end,
                case when bool_or(type = 'DATE/TIME') then '-DATE-' else '' end,
                case when bool_or(type = 'INTEGER') then '-INTEGER-' else '' end,
                case when bool_or(type = 'TEXT') then '-TEXT-' else '' end) as itemset
-      from ({typed_sql(*ALL)}) group by all"""
+      from ({typed_sql(*names)}) group by all"""
 
 
-DATASET_ITEMSETS = f"select dataset, itemset, count(*) as n from ({itemset_sql()}) group by all"
+DATASET_ITEMSETS = f"select dataset, itemset, count(*) as n from ({itemset_sql(*TYPED)}) group by all"
 TOTAL_ITEMSETS = f"select itemset, cast(sum(n) as bigint) as n from ({DATASET_ITEMSETS}) group by all"
 TEXT_EXTREMES = f"""select dataset, column_name,
         string_agg(value, ' | ' order by s) filter (s <= 5) as shortest_values,
@@ -201,16 +202,16 @@ SQL = {
         max(case when type = 'DATE/TIME' then moment end) as max_moment
         from ({typed_sql(*SMALL)}) group by all""",
     "integer_stats": number_sql("INTEGER", *ALL),
-    "real_stats": number_sql("REAL", *ALL),
+    "real_stats": number_sql("REAL", *TYPED),
     "integer_stats_of_frequencies": number_sql("INTEGER", *SMALL),
     "date_stats": f"""select dataset, column_name, count(*) as count,
         strftime(max(moment), '%m/%d/%Y, %H:%M:%S') as max_value, strftime(min(moment), '%m/%d/%Y, %H:%M:%S') as min_value
-        from ({typed_sql(*ALL)}) where type = 'DATE/TIME' group by all""",
+        from ({typed_sql(*TYPED)}) where type = 'DATE/TIME' group by all""",
     "text_stats": f"""select dataset, column_name, count, shortest_values, longest_values, average_length
         from (select dataset, column_name, count(*) as count, round(avg(length(value)), 4) as average_length
               from ({typed_sql(*ALL)}) where type = 'TEXT' group by all)
         join ({TEXT_EXTREMES}) using (dataset, column_name)""",
-    "column_itemsets": itemset_sql(),
+    "column_itemsets": itemset_sql(*TYPED),
     "dataset_itemsets": DATASET_ITEMSETS,
     "total_itemsets": TOTAL_ITEMSETS,
     "most_frequent_itemsets": f"""select itemset, n from ({TOTAL_ITEMSETS})
@@ -231,6 +232,6 @@ SQL = {
         last_date, shortest_values
       from meta left join types using (dataset, column_name)
         left join ({top_sql(ALL, 5)}) using (dataset, column_name)
-        left join ({itemset_sql()}) using (dataset, column_name)
+        left join ({itemset_sql(*ALL)}) using (dataset, column_name)
         left join ({TEXT_EXTREMES}) using (dataset, column_name)""",
 }
