@@ -32,7 +32,7 @@ def distinct_values(rows: DataFrame, key: str, value: str) -> DataFrame:
 def shingle_tokens(k: int) -> Callable[[Column], Column]:
     """Hashed distinct shingles; a string without shingles has itself as its only token."""
     def tokens(value: Column) -> Column:
-        parts = F.transform(F.array_distinct(shingles(value, k)), lambda s: F.xxhash64(s))
+        parts = F.array_distinct(F.transform(shingles(value, k), lambda s: F.xxhash64(s)))
         return F.when(F.size(parts) > 0, parts).otherwise(F.array(F.xxhash64(F.lit("="), value)))
 
     return tokens
@@ -51,6 +51,11 @@ def bucket(token: Column) -> Column:
     return F.pmod(token, F.lit(RARITY_BUCKETS)).cast("int")
 
 
+def ranked_token(token: Column, levels: Column) -> Column:
+    """The token as one number that sorts by rarity: its bucket's level, then 56 bits of its hash."""
+    return F.get(levels, bucket(token)).cast("bigint") * (1 << 56) + F.pmod(token, F.lit(1 << 56))
+
+
 def rarity(tokens: list[DataFrame]) -> Column:
     """How common each token bucket is, as one array of RARITY_BUCKETS small numbers.
 
@@ -70,27 +75,24 @@ def rarity(tokens: list[DataFrame]) -> Column:
     ).scalar()
 
 
-def _prefixes(tokens: DataFrame, levels: Column, least: Callable[[Column], Column], side: str) -> DataFrame:
+def _prefixes(tokens: DataFrame, levels: Column, least: Callable[[Column], Column]) -> DataFrame:
     """One row per prefix token: with ``least(size)`` tokens in common at the least, two strings
     must meet within the first size - least + 1 tokens."""
+    size = F.col("size")
+    rarest_first = F.sort_array(F.transform("tokens", lambda t: ranked_token(t, F.col("levels"))))
+    length = F.least(size, F.greatest(F.lit(0), size - F.greatest(least(size), F.lit(1)) + 1))
     sized = tokens.select("id", "tokens", F.size("tokens").alias("size"), levels.alias("levels"))
-    ranked = sized.select(
-        "id",
-        "size",
-        F.slice(
-            F.sort_array(
-                F.transform(
-                    "tokens",
-                    lambda t: F.struct(F.get("levels", bucket(t)).alias("level"), t.alias("token")),
-                )
-            ),
-            F.lit(1),
-            F.least(F.col("size"), F.greatest(F.lit(0), F.col("size") - F.greatest(least(F.col("size")), F.lit(1)) + 1)),
-        ).alias("prefix"),
-    )
-    return ranked.select(
-        F.col("id").alias(f"id{side}"), F.col("size").alias(f"size{side}"), F.posexplode_outer("prefix").alias("pos", "t")
-    ).select(f"id{side}", f"size{side}", F.col("pos").alias(f"pos{side}"), F.col("t.token").alias("token"))
+    ranked = sized.select("id", "size", F.slice(rarest_first, F.lit(1), length).alias("prefix"))
+    return ranked.select("id", "size", F.posexplode_outer("prefix").alias("pos", "token"))
+
+
+def join_sides(left: DataFrame, right: DataFrame | None, meets: Column) -> DataFrame:
+    """Different (id0, id1) pairs of rows a.*, b.* that meet. A table joined with itself is named
+    once, so that Spark shuffles it once."""
+    if right is None:
+        meets = meets & (F.col("a.id") < F.col("b.id"))
+    met = left.alias("a").join((left if right is None else right).alias("b"), meets)
+    return spread(met.select(F.col("a.id").alias("id0"), F.col("b.id").alias("id1")).distinct())
 
 
 def candidates(
@@ -110,13 +112,16 @@ def candidates(
 
     sides = [prepared(left)] + ([] if right is None else [prepared(right)])
     levels = rarity(sides)
-    a = _prefixes(sides[0], levels, least, "0")
-    b = _prefixes(sides[-1], levels, least, "1")
-    rest = F.least(F.col("size0") - F.col("pos0"), F.col("size1") - F.col("pos1"))
-    meets = (a["token"] == b["token"]) & (rest >= enough(F.col("size0"), F.col("size1")))
-    if right is None:
-        meets = meets & (F.col("id0") < F.col("id1"))
-    return a.join(b, meets).select("id0", "id1").distinct()
+    left_side, *right_side = [_prefixes(side, levels, least) for side in sides]
+    rest = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
+    meets = (F.col("a.token") == F.col("b.token")) & (rest >= enough(F.col("a.size"), F.col("b.size")))
+    return join_sides(left_side, right_side[0] if right_side else None, meets)
+
+
+def spread(pairs: DataFrame) -> DataFrame:
+    """Spread pairs evenly over all shuffle partitions: a pair is two ids, but costly to score, so
+    the bytes by which Spark merges partitions say nothing about the work."""
+    return pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id0", "id1")
 
 
 def with_values(pairs: DataFrame, left: DataFrame, right: DataFrame | None = None) -> DataFrame:

@@ -45,7 +45,7 @@ QUERIES = {
         "similarity",
     ),
     "cosine_pairs": lambda spark, sf: scores(
-        s.cosine_pairs(strings(spark, sf, "conversations", "conv_id * 1000 + turn", "text"), k=5, min_similarity=0.8),
+        s.cosine_pairs(strings(spark, sf, "conversations", "conv_id * 1000 + turn", "text"), k=5, min_similarity=0.6),
         "similarity",
     ),
     "dice_pairs": lambda spark, sf: scores(
@@ -83,10 +83,10 @@ def strings_sql(name, key, expression):
 
 
 def profile_sql(source, k):
-    """(id, shingle, n) by characters, so that cost grows with length."""
-    return f"""select id, array_to_string(c[i:i + {k - 1}], '') as shingle, count(*) as n
-      from (select id, c, unnest(range(1, len(c) - {k - 2})) as i
-            from (select id, string_split(regexp_replace(value, '\\s+', ' ', 'g'), '') as c from ({source})))
+    """(id, shingle, n): all shingles of a string with their counts."""
+    return f"""select id, substr(v, i, {k}) as shingle, count(*) as n
+      from (select id, v, unnest(range(1, length(v) - {k - 2})) as i
+            from (select id, regexp_replace(value, '\\s+', ' ', 'g') as v from ({source})))
       group by all"""
 
 
@@ -127,7 +127,7 @@ SQL = {
     ),
     "cosine_pairs": set_pairs_sql(
         strings_sql("conversations", "conv_id * 1000 + turn", "text"), None, 5,
-        "round(product / (norm0 * norm1), 6) as similarity", "product / (norm0 * norm1) >= 0.8",
+        "round(product / (norm0 * norm1), 6) as similarity", "product / (norm0 * norm1) >= 0.6",
     ),
     "dice_pairs": set_pairs_sql(
         strings_sql("pages", "page_id", "url"), None, 3, "round(2 * common / (n0 + n1), 6) as similarity",
