@@ -44,6 +44,13 @@ MESSY = {
         when 2 then concat(substr(cast(o_orderdate as string), 1, 4), substr(cast(o_orderdate as string), 6, 2))
         when 3 then 'no date'
         else '2031-01-01' end""",
+    "market_segment": """case o_orderkey % 6
+        when 0 then o_orderpriority
+        when 1 then concat('Brand#', cast(o_custkey % 25 as string))
+        when 2 then '-'
+        when 3 then null
+        when 4 then 'furniture'
+        else concat('www.site', cast(o_custkey % 10 as string), '.com') end""",
     "nothing": "cast(null as string)",
 }
 
