@@ -84,7 +84,7 @@ def profile_folder(spark, sf):
     records = profile_report.column_records(value_frequencies(dataset_cells(spark, sf, "nation", "customer", "messy")))
     sinks.write_profile(records, path)
     read = spark.read.json(path)
-    return read.select(*KEYS, "number_distinct_values", "itemset", F.size("data_types").alias("types"))
+    return read.select(*KEYS, "number_distinct_values", "itemset", F.coalesce(F.size("data_types"), F.lit(0)).alias("types"))
 
 
 QUERIES = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SHEET = "ds_path string, col_name_ta string, col_name string, `frequent_values->counts_(top_10)` string"
+SHEET = ["ds_path", "col_name_ta", "col_name", "frequent_values->counts_(top_10)"]
 RESULTS = "column_name string, semantic_types array<struct<semantic_type: string, label: string, count: bigint>>"
 
 
@@ -28,14 +28,19 @@ def read_catalog(spark: SparkSession, path: str, folder: str) -> DataFrame:
     return parse_catalog(spark.read.text(path), folder)
 
 
+def _csv(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.csv(path, header=True, multiLine=True, escape='"')
+
+
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """A labelled sheet; its list of ``value->count`` is the text of a JSON array."""
-    return spark.read.csv(path, header=True, schema=SHEET, multiLine=True, escape='"')
+    """A labelled sheet, columns by name; its list of ``value->count`` is the text of a JSON array."""
+    return _csv(spark, path).select(*[F.col(f"`{c}`") for c in SHEET])
 
 
 def read_reference_set(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    schema = f"true_label string, {kind} string, count bigint, rank int"
-    return spark.read.csv(path, header=True, schema=schema, multiLine=True, escape='"')
+    """A reference set of values (kind ``frequent_value``) or column names (``col_name_ta``)."""
+    count, rank = F.col("count").cast("bigint").alias("count"), F.col("rank").cast("int").alias("rank")
+    return _csv(spark, path).select("true_label", kind, count, rank)
 
 
 def read_results(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
