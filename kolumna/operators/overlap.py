@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from kolumna.functions.text import shingles
 from kolumna.operators.steps import computed
 
-RARITY_BUCKETS = 1 << 14
+def rarity_buckets(k: int) -> int:
+    """Size of the rarity table for tokens of ``k`` characters: longer tokens are more diverse."""
+    return 1 << 14 if k <= 3 else 1 << 18
 
 
 def distinct_values(rows: DataFrame, key: str, value: str) -> DataFrame:
@@ -47,39 +49,39 @@ def character_tokens(value: Column) -> Column:
     )
 
 
-def bucket(token: Column) -> Column:
-    return F.pmod(token, F.lit(RARITY_BUCKETS)).cast("int")
+def bucket(token: Column, buckets: int) -> Column:
+    return F.pmod(token, F.lit(buckets)).cast("int")
 
 
-def ranked_token(token: Column, levels: Column) -> Column:
+def ranked_token(token: Column, levels: Column, buckets: int) -> Column:
     """The token as one number that sorts by rarity: its bucket's level, then 56 bits of its hash."""
-    return F.get(levels, bucket(token)).cast("bigint") * (1 << 56) + F.pmod(token, F.lit(1 << 56))
+    return F.get(levels, bucket(token, buckets)).cast("bigint") * (1 << 56) + F.pmod(token, F.lit(1 << 56))
 
 
-def rarity(tokens: list[DataFrame]) -> Column:
-    """How common each token bucket is, as one array of RARITY_BUCKETS small numbers.
+def rarity(tokens: list[DataFrame], buckets: int) -> Column:
+    """How common each token bucket is, as one array of ``buckets`` one-byte levels.
 
-    Counting buckets in place of tokens bounds the table (16 KiB) whatever the data, so it can go to
-    every task; nothing is lost, as any fixed order of tokens gives exact results.
+    Counting buckets in place of tokens bounds the table whatever the data, so it can go to every
+    task; nothing is lost, as any fixed order of tokens gives exact results.
     """
     spark = tokens[0].sparkSession
     counts = None
     for df in tokens:
-        exploded = df.select(F.explode_outer(F.transform("tokens", bucket)).alias("bucket"))
+        exploded = df.select(F.explode_outer(F.transform("tokens", lambda t: bucket(t, buckets))).alias("bucket"))
         counts = exploded if counts is None else counts.unionAll(exploded)
     counts = counts.groupBy("bucket").agg(F.count("*").alias("n"))
-    every = spark.range(RARITY_BUCKETS).select(F.col("id").cast("int").alias("bucket"))
+    every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     level = F.floor(4 * F.log2(1 + F.coalesce("n", F.lit(0)))).cast("tinyint")
     return every.join(counts, "bucket", "left").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("bucket", level.alias("level")))), lambda b: b["level"])
     ).scalar()
 
 
-def _prefixes(tokens: DataFrame, levels: Column, least: Callable[[Column], Column]) -> DataFrame:
+def _prefixes(tokens: DataFrame, levels: Column, least: Callable[[Column], Column], buckets: int) -> DataFrame:
     """One row per prefix token: with ``least(size)`` tokens in common at the least, two strings
     must meet within the first size - least + 1 tokens."""
     size = F.col("size")
-    rarest_first = F.sort_array(F.transform("tokens", lambda t: ranked_token(t, F.col("levels"))))
+    rarest_first = F.sort_array(F.transform("tokens", lambda t: ranked_token(t, F.col("levels"), buckets)))
     length = F.least(size, F.greatest(F.lit(0), size - F.greatest(least(size), F.lit(1)) + 1))
     sized = tokens.select("id", "tokens", F.size("tokens").alias("size"), levels.alias("levels"))
     ranked = sized.select("id", "size", F.slice(rarest_first, F.lit(1), length).alias("prefix"))
@@ -101,6 +103,7 @@ def candidates(
     tokens: Callable[[Column], Column],
     enough: Callable[[Column, Column], Column],
     least: Callable[[Column], Column],
+    buckets: int = 1 << 14,
 ) -> DataFrame:
     """Pairs (id0, id1) that may share ``enough(size0, size1)`` tokens; none that do is missing.
 
@@ -111,8 +114,8 @@ def candidates(
         return computed(df, tokens=tokens(F.col("value"))).select("id", "tokens")
 
     sides = [prepared(left)] + ([] if right is None else [prepared(right)])
-    levels = rarity(sides)
-    left_side, *right_side = [_prefixes(side, levels, least) for side in sides]
+    levels = rarity(sides, buckets)
+    left_side, *right_side = [_prefixes(side, levels, least, buckets) for side in sides]
     rest = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
     meets = (F.col("a.token") == F.col("b.token")) & (rest >= enough(F.col("a.size"), F.col("b.size")))
     return join_sides(left_side, right_side[0] if right_side else None, meets)

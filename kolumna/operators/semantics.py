@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kolumna.functions.rules import OWN_TYPE_ONLY, RULES, is_empty_literal, rule_types
 from kolumna.operators.cells import KEYS
 from kolumna.operators.matching import DIGITS_KEPT, best_types
+from kolumna.session import written
 
 # The labels of the result; any other type is reported as "other" with its label.
 LABELS = [
@@ -39,14 +40,14 @@ def value_types(
     first = best_types(full.withColumn("allowed", F.array(own)), refs, keys, "allowed").select(
         *keys, F.col("average").alias("own_average")
     )
+    rated = written(pairs.where(value.isNotNull()).join(first, keys, "left"), "own-types")
     far = F.col("own_average").isNull() | (F.round("own_average", DIGITS_KEPT) > ACCEPTED_AVERAGE)
     suggested = rule_types(value, own, rules, own_type_only)
     second_round = (
-        full.join(first, keys, "left")
-        .where(far)
+        rated.where(far & ~is_empty_literal(value))
         .withColumn("suggested", suggested)
         .withColumn("allowed", F.when(F.size("suggested") > 0, F.array_union("suggested", F.array(own))))
-        .select(*keys, "text", "allowed")
+        .select(*keys, value.alias("text"), "allowed")
     )
     second = best_types(second_round, refs, keys, "allowed").select(
         *keys, F.col("s_type").alias("other_type"), F.col("average").alias("other_average")
@@ -55,8 +56,7 @@ def value_types(
         F.round("other_average", DIGITS_KEPT) <= F.round(F.col("own_average") * IMPROVED_TO, DIGITS_KEPT)
     )
     chosen = F.when(F.col("other_type").isNotNull() & better, F.col("other_type")).otherwise(own)
-    matched = pairs.where(value.isNotNull()).join(first, keys, "left").join(second, keys, "left")
-    typed = matched.select(*keys, chosen.alias("s_type"))
+    typed = rated.join(second, keys, "left").select(*keys, chosen.alias("s_type"))
     return typed.unionByName(pairs.where(value.isNull()).select(*keys, own.alias("s_type")))
 
 

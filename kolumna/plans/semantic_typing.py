@@ -10,6 +10,7 @@ from kolumna.operators import semantics
 from kolumna.operators.cells import KEYS, value_frequencies
 from kolumna.operators.matching import nearest
 from kolumna.operators.reference_sets import resolve_columns
+from kolumna.session import written
 
 
 def column_types(columns: DataFrame, column_refs: DataFrame) -> DataFrame:
@@ -32,12 +33,14 @@ def typed_cells(
 ) -> DataFrame:
     """Frequencies of the listed columns with the semantic type of each value.
 
-    Only cells of resolved columns are counted; every different value is matched once.
+    Only cells of resolved columns are counted; every different value is matched once. The types of
+    the columns and the frequencies are used by several steps, so each is written once.
     """
     resolved = resolve_columns(listed, headers).select(*KEYS).distinct()
-    wanted = cell_rows.join(resolved, KEYS, "left_semi")
-    types = column_types(resolved, column_refs)
-    return semantics.cell_types(value_frequencies(wanted), types, value_refs, rules, own_type_only)
+    types = written(column_types(resolved, column_refs), "column-types")
+    wanted = cell_rows.join(types, KEYS, "left_semi")
+    frequencies = written(value_frequencies(wanted), "frequencies")
+    return semantics.cell_types(frequencies, types, value_refs, rules, own_type_only)
 
 
 def run(cell_rows, listed, headers, column_refs, value_refs, rules=RULES, own_type_only=OWN_TYPE_ONLY) -> DataFrame:

@@ -101,7 +101,7 @@ QUERIES = {
     "typed_cells": lambda spark, sf: typed_cells(spark, sf, *SMALL)
     .groupBy(*c.KEYS, "type")
     .agg(F.sum("n").alias("n"), F.max("whole").cast("double").alias("max_whole"), F.max("moment").alias("max_moment")),
-    "integer_stats": lambda spark, sf: number_stats(profile.integer_stats(typed_cells(spark, sf, *ALL))),
+    "integer_stats": lambda spark, sf: number_stats(profile.integer_stats(typed_cells(spark, sf, *TYPED))),
     "real_stats": lambda spark, sf: number_stats(profile.real_stats(typed_cells(spark, sf, *TYPED))),
     "integer_stats_of_frequencies": lambda spark, sf: number_stats(
         profile.integer_stats(typed_frequencies(spark, sf, *SMALL))
@@ -201,7 +201,7 @@ SQL = {
         max(case when type = 'INTEGER' then number end) as max_whole,
         max(case when type = 'DATE/TIME' then moment end) as max_moment
         from ({typed_sql(*SMALL)}) group by all""",
-    "integer_stats": number_sql("INTEGER", *ALL),
+    "integer_stats": number_sql("INTEGER", *TYPED),
     "real_stats": number_sql("REAL", *TYPED),
     "integer_stats_of_frequencies": number_sql("INTEGER", *SMALL),
     "date_stats": f"""select dataset, column_name, count(*) as count,
