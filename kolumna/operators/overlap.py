@@ -77,24 +77,34 @@ def rarity(tokens: list[DataFrame], buckets: int) -> Column:
     ).scalar()
 
 
+def spare(size: Column) -> Column:
+    """By how many tokens a prefix is longer than it must be. A pair has to meet that many times
+    more, which rules out most strings that share but a phrase."""
+    return F.floor(size / 16)
+
+
 def _prefixes(tokens: DataFrame, levels: Column, least: Callable[[Column], Column], buckets: int) -> DataFrame:
     """One row per prefix token: with ``least(size)`` tokens in common at the least, two strings
-    must meet within the first size - least + 1 tokens."""
+    must meet within the first size - least + 1 tokens, and again within each token more."""
     size = F.col("size")
     rarest_first = F.sort_array(F.transform("tokens", lambda t: ranked_token(t, F.col("levels"), buckets)))
-    length = F.least(size, F.greatest(F.lit(0), size - F.greatest(least(size), F.lit(1)) + 1))
+    length = F.least(size, F.greatest(F.lit(0), size - F.greatest(least(size), F.lit(1)) + 1 + spare(size)))
     sized = tokens.select("id", "tokens", F.size("tokens").alias("size"), levels.alias("levels"))
     ranked = sized.select("id", "size", F.slice(rarest_first, F.lit(1), length).alias("prefix"))
     return ranked.select("id", "size", F.posexplode_outer("prefix").alias("pos", "token"))
 
 
-def join_sides(left: DataFrame, right: DataFrame | None, meets: Column) -> DataFrame:
-    """Different (id0, id1) pairs of rows a.*, b.* that meet. A table joined with itself is named
-    once, so that Spark shuffles it once."""
+def join_sides(left: DataFrame, right: DataFrame | None, meets: Column, times: Column | None = None) -> DataFrame:
+    """Different (id0, id1) pairs of rows a.*, b.* that meet, at least ``times`` if given. A table
+    joined with itself is named once, so that Spark shuffles it once."""
     if right is None:
         meets = meets & (F.col("a.id") < F.col("b.id"))
     met = left.alias("a").join((left if right is None else right).alias("b"), meets)
-    return spread(met.select(F.col("a.id").alias("id0"), F.col("b.id").alias("id1")).distinct())
+    needed = (F.lit(1) if times is None else times).alias("times")
+    counted = met.select(F.col("a.id").alias("id0"), F.col("b.id").alias("id1"), needed).groupBy("id0", "id1").agg(
+        F.count("*").alias("met"), F.max("times").alias("times")
+    )
+    return spread(counted.where(F.col("met") >= F.col("times")).select("id0", "id1"))
 
 
 def candidates(
@@ -117,8 +127,10 @@ def candidates(
     levels = rarity(sides, buckets)
     left_side, *right_side = [_prefixes(side, levels, least, buckets) for side in sides]
     rest = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
-    meets = (F.col("a.token") == F.col("b.token")) & (rest >= enough(F.col("a.size"), F.col("b.size")))
-    return join_sides(left_side, right_side[0] if right_side else None, meets)
+    extra = spare(F.least("a.size", "b.size"))
+    shared = enough(F.col("a.size"), F.col("b.size"))
+    meets = (F.col("a.token") == F.col("b.token")) & (rest >= shared - extra)
+    return join_sides(left_side, right_side[0] if right_side else None, meets, F.least(1 + extra, shared))
 
 
 def spread(pairs: DataFrame) -> DataFrame:
