@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kolumna.llm import language, main_text, quality, simhash
+from kolumna.llm import language, main_text, quality, repeats, simhash
 from kolumna.llm.common import table
 
 #: One of so many parts of the labelled rows is held out.
 FOLDS = 5
 
 
+def long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_long_repeats": long_repeats,
     "op4_simhash_components": simhash_components,
     "op5_quality_verdicts": quality_verdicts,
     "op8_languages": languages,
