@@ -5,17 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kolumna.llm import language, main_text, quality, repeats, simhash
+from kolumna.llm import credentials, language, main_text, mixing, quality, repeats, shards, simhash
 from kolumna.llm.common import table
 
 #: One of so many parts of the labelled rows is held out.
 FOLDS = 5
+#: Bytes of text in a shard.
+SHARD_BYTES = 1 << 20
 
 
 def long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return shards.assigned(docs, SHARD_BYTES).select("doc_id", "n_bytes", "shard")
+
+
+def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mixed(docs).select("doc_id", "source", "block", "release", "deadline", "slot")
+
+
+def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.find(table(spark, sf_dir, "documents"))
+
+
 def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
@@ -40,10 +56,13 @@ def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_long_repeats": long_repeats,
+    "op2_byte_shards": byte_shards,
+    "op3_secret_spans": secret_spans,
     "op4_simhash_components": simhash_components,
     "op5_quality_verdicts": quality_verdicts,
+    "op7_mixture": mixture,
     "op8_languages": languages,
     "op10_main_texts": main_texts,
 }
 
-SQL: dict[str, str] = {}
+SQL = {"op2_byte_shards": shards.shard_sql(SHARD_BYTES)}
