@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -63,21 +64,28 @@ def running_total(
     """Add ``total``: the sum of ``amount`` over the rows before this one in its group, by (bucket, order).
 
     ``spread`` is an evenly spread long; its remainder by ``buckets`` cuts every group into buckets,
-    so that the largest group is ordered by many tasks. Only bucket sums meet in one window.
+    so that the largest group is ordered by many tasks. Bucket sums are added up in two steps, so
+    that only about the square root of their number meets in one window.
     """
+    across = max(1, math.isqrt(buckets))
     cut = df.withColumn("__bucket", F.pmod(spread, F.lit(buckets)))
     sums = cut.groupBy(*groups, "__bucket").agg(F.sum(amount).alias("__amount"))
-    before = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(
-        *[F.col(g).alias(f"__{g}") for g in groups],
-        F.col("__bucket").alias("__b"),
-        F.coalesce(F.sum("__amount").over(before), F.lit(0)).alias("__start"),
-    )
+    sums = sums.withColumn("__shelf", F.floor(F.col("__bucket") / across))
+    shelves = sums.groupBy(*groups, "__shelf").agg(F.sum("__amount").alias("__amount"))
+
+    def before(order: str, *parts: str) -> Column:
+        window = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("__amount").over(window), F.lit(0))
+
+    named = [F.col(g).alias(f"__{g}") for g in groups]
+    starts = sums.select(*named, "__bucket", "__shelf", before("__bucket", *groups, "__shelf").alias("__in_shelf"))
+    shelves = shelves.select(*groups, F.col("__shelf").alias("__s"), before("__shelf", *groups).alias("__shelf_start"))
+    starts = starts.join(shelves, (F.col("__shelf") == F.col("__s")) & _all(F.col(g).eqNullSafe(F.col(f"__{g}")) for g in groups))
+    starts = starts.select(*[f"__{g}" for g in groups], F.col("__bucket").alias("__b"), (F.col("__shelf_start") + F.col("__in_shelf")).alias("__start"))
     inside = Window.partitionBy(*groups, "__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     own = cut.withColumn("__inside", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
     same = (F.col("__bucket") == F.col("__b")) & _all(F.col(g).eqNullSafe(F.col(f"__{g}")) for g in groups)
-    joined = own.join(starts, same)
-    return joined.select(*df.columns, (F.col("__start") + F.col("__inside")).alias(total))
+    return own.join(starts, same).select(*df.columns, (F.col("__start") + F.col("__inside")).alias(total))
 
 
 def _all(conditions: Iterable[Column]) -> Column:

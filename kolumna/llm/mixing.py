@@ -22,7 +22,7 @@ FRAME = 1000
 #: Bytes of text in a block.
 BLOCK_BYTES = 1 << 16
 #: Rows that are ordered in one group.
-GROUP_ROWS = 2000
+GROUP_ROWS = 500
 #: Exponent that flattens the sizes of sources to weights where none are given.
 FLATTEN = 0.5
 

@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kolumna.llm import credentials, language, main_text, mixing, quality, repeats, shards, simhash
+from kolumna.llm import (
+    credentials,
+    decontaminate,
+    language,
+    main_text,
+    mixing,
+    quality,
+    repeats,
+    shards,
+    simhash,
+    surrogates,
+)
 from kolumna.llm.common import table
 
 #: One of so many parts of the labelled rows is held out.
 FOLDS = 5
 #: Bytes of text in a shard.
 SHARD_BYTES = 1 << 20
+#: A key for the given tables; real ones come from a secret store.
+SURROGATE_KEY = "key of the test tables"
 
 
 def long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,14 +67,24 @@ def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(pages, main_text.fit(pages)).select("page_id", "url", "text", "n_chars")
 
 
+def benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
+
+
 QUERIES = {
     "op1_long_repeats": long_repeats,
     "op2_byte_shards": byte_shards,
     "op3_secret_spans": secret_spans,
     "op4_simhash_components": simhash_components,
     "op5_quality_verdicts": quality_verdicts,
+    "op6_benchmark_matches": benchmark_matches,
     "op7_mixture": mixture,
     "op8_languages": languages,
+    "op9_private_data": private_data,
     "op10_main_texts": main_texts,
 }
 

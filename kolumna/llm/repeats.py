@@ -329,7 +329,8 @@ def without_repeats(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, pie
         F.hash(F.col(id_column).cast("long"), F.col(text_column).cast("string")).alias("tag"), F.col(text_column).cast("string").alias("text"),
     )
     every = occurrences(keyed, span, anchor)
-    again = every.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Written, so that the join shuffles both sides on their own and Spark can split a common anchor.
+    again = saved(every.groupBy("anchor").count().where("count > 1").select("anchor"), "again")
     meeting = saved(every.join(again, "anchor"), "meeting")
     kinds = saved(
         meeting.groupBy("anchor", "content").agg(F.count("*").alias("copies"), F.min(F.struct("id", "tag", "start", "shape")).alias("first")), "kinds"
