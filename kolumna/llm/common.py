@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -52,6 +53,32 @@ def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
+_BASE = 0x9E3779B97F4A7C15
+_SYMBOLS = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse, modulo 2**64."""
+    made = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        factors = np.full(n, base, dtype=np.uint64)
+        factors[:1] = 1
+        made.append(np.multiply.accumulate(factors))
+    return made[0], made[1]
+
+
+def prefix_hashes(data: np.ndarray, up: np.ndarray) -> np.ndarray:
+    """s, so that (s[e] - s[b]) * down[b] is a hash of data[b:e] that does not depend on its place."""
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_SYMBOLS[data] * up[: len(data)], out=sums[1:])
+    return sums
+
+
+def mixed_bits(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Written to the folder that driver and executors share and read back: cuts lineage, so that a
     lost executor costs one stage only."""

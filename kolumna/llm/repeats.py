@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kolumna.llm.common import arrow_schema, as_bytes, map_batches, saved
+from kolumna.llm.common import arrow_schema, as_bytes, map_batches, mixed_bits, powers, prefix_hashes, saved
 
 SPAN, ANCHOR = 200, 32
 #: Bytes that a task hashes or sorts at a time; longer texts are taken in overlapping parts.
@@ -34,35 +34,15 @@ PART = 1 << 19
 PIECE_LIMIT = 2048
 CELL = 32
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_SYMBOLS = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(_BASE, -1, 1 << 64)
-    made = []
-    for base in (_BASE, inverse):
-        factors = np.full(n, base, dtype=np.uint64)
-        factors[0] = 1
-        made.append(np.multiply.accumulate(factors))
-    return made[0], made[1]
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
-def pieces(data: np.ndarray, owner: np.ndarray, powers, span: int, anchor: int) -> tuple[np.ndarray, ...]:
+def pieces(data: np.ndarray, owner: np.ndarray, factors, span: int, anchor: int) -> tuple[np.ndarray, ...]:
     """Start, number of windows, place of the anchor, its hash and the content hash of every piece; none crosses owners."""
     n = len(data)
     if n < span:
         return tuple(np.empty(0, dtype=t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
-    up, down = powers
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_SYMBOLS[data] * up[:n], out=sums[1:])
+    up, down = factors
+    sums = prefix_hashes(data, up)
     at = np.arange(n - anchor + 1, dtype=np.uint64)
-    hashes = _mixed((sums[anchor:] - sums[: n - anchor + 1]) * down[: n - anchor + 1])
+    hashes = mixed_bits((sums[anchor:] - sums[: n - anchor + 1]) * down[: n - anchor + 1])
     low = np.uint64((1 << 24) - 1)
     least = (hashes & ~low) | at  # of equal hashes the leftmost
     width, reach = span - anchor + 1, 1
@@ -82,7 +62,7 @@ def pieces(data: np.ndarray, owner: np.ndarray, powers, span: int, anchor: int)
     starts, counts = starts[keep], counts[keep]
     spots = place[starts]
     content = (sums[starts + counts + span - 1] - sums[starts]) * down[starts]
-    content = _mixed(content + _mixed((spots - starts).astype(np.uint64) + np.uint64(1)) + counts.astype(np.uint64))
+    content = mixed_bits(content + mixed_bits((spots - starts).astype(np.uint64) + np.uint64(1)) + counts.astype(np.uint64))
     return starts, counts, spots - starts, hashes[spots], content
 
 
@@ -107,14 +87,14 @@ def occurrences(keyed: DataFrame, span: int, anchor: int) -> DataFrame:
     schema = pa.schema(fields)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = _powers(2 * PART + span + 1)
+        factors = powers(2 * PART + span + 1)
         for batch in batches:
             ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for bundle in _parts(as_bytes(batch.column(2)), span):
                 lengths = [len(p) for _, _, p in bundle]
                 data = np.frombuffer(b"".join(p for _, _, p in bundle), dtype=np.uint8)
                 owner = np.repeat(np.arange(len(bundle)), lengths)
-                starts, counts, spots, anchors, contents = pieces(data, owner, powers, span, anchor)
+                starts, counts, spots, anchors, contents = pieces(data, owner, factors, span, anchor)
                 which = owner[starts]
                 rows = np.array([r for r, _, _ in bundle])[which]
                 shift = (np.array([o for _, o, _ in bundle]) - np.concatenate([[0], np.cumsum(lengths)[:-1]]))[which]
