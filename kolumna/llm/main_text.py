@@ -31,6 +31,7 @@ BLOCKS = {
     "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody",
     "td", "tfoot", "th", "thead", "title", "tr", "ul",
 }
+INLINE = {"b", "br", "blockquote", "code", "em", "h1", "h2", "h3", "h4", "h5", "h6", "i", "p", "q", "s", "span", "strong", "sub", "sup", "u", "wbr"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: A start tag of the second closes an open element of the first.
 CLOSED_BY = {
@@ -193,8 +194,8 @@ def main_text(page: str | None, weights: Weights = UNSEEN) -> str:
     found = blocks(page or "")
     scores = []
     for b in found:
-        default = 0.3 if " plain many" in b.kind else LEAST
-        score = b.words * weights.words.get(b.kind, default) - sum(weights.tags.get(t, 0.5) for t in b.tags)
+        default = 0.3 if " plain " in b.kind else LEAST
+        score = b.words * weights.words.get(b.kind, default) - sum(weights.tags.get(t, 0.1 if t in INLINE else 0.3) for t in b.tags)
         scores.append(score if not b.outside else -abs(score))
     start, end = best_run(scores)
     # A page without any prose has no run: a marked article is taken whole then.
