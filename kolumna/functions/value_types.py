@@ -28,10 +28,28 @@ DATE_SHAPES = [
     (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}", "M/d/yyyy H:mm"),
     (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
     (r"\d{1,2}-\d{1,2}-\d{4}", "M-d-yyyy"),
+    (r"\d{1,2}\.\d{1,2}\.\d{4}", "M.d.yyyy"),
+    (r"\d{4}\.\d{1,2}\.\d{1,2}", "yyyy.M.d"),
+    (r"(?:%(month)s) \d{1,2} \d{4} \d{1,2}:\d{2}:\d{2} [AaPp][Mm]", "MMM d yyyy h:mm:ss a"),
+    (r"(?:%(month)s) \d{1,2} \d{4} \d{1,2}:\d{2} [AaPp][Mm]", "MMM d yyyy h:mm a"),
+    (r"(?:%(month)s) \d{1,2} \d{4} \d{1,2}:\d{2}:\d{2}", "MMM d yyyy H:mm:ss"),
+    (r"(?:%(month)s) \d{1,2} \d{4} \d{1,2}:\d{2}", "MMM d yyyy H:mm"),
     (r"(?:%(month)s) \d{1,2} \d{4}", "MMM d yyyy"),
     (r"\d{1,2} (?:%(month)s) \d{4}", "d MMM yyyy"),
+    (r"\d{1,2}-(?:%(month)s)-\d{4}", "d-MMM-yyyy"),
+    (r"\d{1,2}-(?:%(month)s)-\d{2}", "d-MMM-yy"),
+    (r"\d{1,2} (?:%(month)s) \d{2}", "d MMM yy"),
     (r"(?:%(month)s) \d{4}", "MMM yyyy"),
+    (r"(?:%(month)s)-\d{4}", "MMM-yyyy"),
+    (r"\d{1,2}/\d{1,2}/\d{2} \d{1,2}:\d{2}:\d{2} [AaPp][Mm]", "M/d/yy h:mm:ss a"),
+    (r"\d{1,2}/\d{1,2}/\d{2} \d{1,2}:\d{2}", "M/d/yy H:mm"),
+    (r"\d{1,2}/\d{1,2}/\d{2}", "M/d/yy"),
+    (r"\d{1,2}-\d{1,2}-\d{2}", "M-d-yy"),
+    (r"\d{4}-\d{1,2}", "yyyy-M"),
+    (r"\d{1,2}/\d{4}", "M/yyyy"),
 ]
+# Two-digit years from this one on belong to the century before.
+PIVOT_YEAR = 2070
 DIGIT_SHAPES = [(r"\d{8}", "yyyyMMdd"), (r"\d{6}", "yyyyMM"), (r"\d{4}", "yyyy")]
 MONTHS = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
 
@@ -64,6 +82,17 @@ def date_part(text: Column) -> Column:
     return F.trim(F.regexp_extract(tidy, part, 0))
 
 
+def _parsed(part: Column, pattern: str) -> Column:
+    """Month first, or day first where there is no such month; two-digit years as people mean them."""
+    tried = [F.try_to_timestamp(part, F.lit(pattern))]
+    if pattern[:1] == "M" and pattern[1:4] in ("/d/", "-d-", ".d."):
+        tried.append(F.try_to_timestamp(part, F.lit("d" + pattern[1] + "M" + pattern[3:])))
+    value = F.coalesce(*tried)
+    if "yyyy" in pattern:
+        return value
+    return once(value, lambda v: F.when(F.year(v) >= PIVOT_YEAR, v - F.expr("interval 100 years")).otherwise(v))
+
+
 def read_date(part: Column) -> Column:
     """Read a date-shaped part: its shape picks the one pattern that is tried."""
     chosen = F.when(part == "", F.lit(None).cast("timestamp"))
@@ -72,7 +101,7 @@ def read_date(part: Column) -> Column:
         value = (
             F.replace(part, F.lit("t"), F.lit(" ")).try_cast("timestamp")
             if pattern == ISO
-            else F.try_to_timestamp(part, F.lit(pattern))
+            else _parsed(part, pattern)
         )
         chosen = chosen.when(part.rlike(whole), value)
     return chosen

@@ -27,9 +27,20 @@ def cells(df: DataFrame, dataset: str, columns: list[str] | None = None) -> Data
     )
 
 
-def all_cells(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The cells of many tables in one DataFrame."""
-    return reduce(DataFrame.unionByName, [cells(df, name) for name, df in tables.items()])
+def all_cells(tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]] | None = None) -> DataFrame:
+    """The cells of many tables in one DataFrame, of the listed ``columns`` only if they are given:
+    the others are not read at all."""
+    chosen = {name: None for name in tables} if columns is None else columns
+    return reduce(DataFrame.unionByName, [cells(tables[name], name, names) for name, names in chosen.items()])
+
+
+def listed_columns(rows: DataFrame) -> dict[str, list[str]]:
+    """The columns to read of each dataset, from resolved names (dataset, column_name): one row per
+    column, known before any data is read."""
+    found: dict[str, list[str]] = {}
+    for row in rows.select(*KEYS).distinct().orderBy(*KEYS).collect():
+        found.setdefault(row.dataset, []).append(row.column_name)
+    return found
 
 
 def column_cells(cell_rows: DataFrame, column_name: str) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from kolumna.functions.text import normal_forms, shingle_set
 from kolumna.operators.steps import computed
-from kolumna.session import broadcast_if_small
 
 SHINGLE = 3
 # How much a distance counts at each stage, from the raw text to the most general form.
@@ -71,7 +70,7 @@ def _similar(
         meets = meets & (F.col(c) == F.col(f"ref_{c}"))
     if allowed:
         meets = meets & (F.col(allowed).isNull() | F.array_contains(allowed, F.col("s_type")))
-    met = mine.join(broadcast_if_small(theirs), meets, "left")
+    met = mine.join(theirs, meets, "left")
     whole = F.col("token").startswith(marker) & (F.length("token") >= len(marker))
     carried = [F.first(allowed).alias(allowed)] if allowed else []
     pairs = met.groupBy(*keys, "stage", "s_type", "type_order", "target", "target_order").agg(
@@ -155,8 +154,8 @@ def nearest_containing(rows: DataFrame, refs: DataFrame, keys: list[str], stages
     theirs_all = theirs.select("*", F.explode(grams(F.col("form1"))).alias("gram"))
     theirs_start = theirs.select("*", F.substring("form1", 1, SHINGLE).alias("gram"))
     on = ["stage", "gram"]
-    inside = mine_all.join(broadcast_if_small(theirs_start), on).where(F.col("form0").contains(F.col("form1")))
-    around = mine_start.join(broadcast_if_small(theirs_all), on).where(
+    inside = mine_all.join(theirs_start, on).where(F.col("form0").contains(F.col("form1")))
+    around = mine_start.join(theirs_all, on).where(
         F.col("form1").contains(F.col("form0")) & ~F.col("form0").contains(F.col("form1"))
     )
     met = inside.unionByName(around)

@@ -21,22 +21,41 @@ def value_count(text: Column) -> tuple[Column, Column]:
     return F.regexp_extract(text, shape, 1), F.regexp_extract(text, shape, 2).try_cast("bigint")
 
 
-def labelled_values(sheet: DataFrame, counts: str = "frequent_values->counts_(top_10)") -> DataFrame:
-    """One row per label and sampled value of a labelled sheet. The list of ``value->count`` is an
-    array, or the text of a JSON array."""
+def listed_pairs(sheet: DataFrame, counts: str) -> Column:
+    """The list of ``value->count`` of a sheet row: an array, or the text of a list as JSON or Python
+    writes it (single quotes, two-digit escapes, None). Null where the text is no list."""
     field = F.col(f"`{counts}`")
-    if sheet.schema[counts].dataType.simpleString() == "string":
-        field = F.from_json(field, "array<string>")
+    if sheet.schema[counts].dataType.simpleString() != "string":
+        return field
+    text = F.regexp_replace(field, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    text = F.regexp_replace(text, r"(?<=[\[,])\s*None\s*(?=[,\]])", "null")
+    return F.coalesce(F.from_json(field, "array<string>"), F.from_json(text, "array<string>"))
+
+
+def labelled_values(sheet: DataFrame, counts: str = "frequent_values->counts_(top_10)") -> DataFrame:
+    """One row per label and sampled value of a labelled sheet.
+
+    A row without values, or whose list cannot be read (see ``unread_lists``), keeps its labels with
+    a null value.
+    """
     value, count = value_count(F.col("pair"))
-    rows = sheet.select("ds_path", "col_name_ta", F.explode(split_labels(F.col("col_name"))).alias("true_label"), field.alias("pairs"))
-    return rows.select("*", F.explode("pairs").alias("pair")).select(
+    labels = F.explode(split_labels(F.col("col_name"))).alias("true_label")
+    rows = sheet.select("ds_path", "col_name_ta", labels, listed_pairs(sheet, counts).alias("pairs"))
+    return rows.select("*", F.explode_outer("pairs").alias("pair")).select(
         "ds_path", "col_name_ta", "true_label", value.alias("frequent_value"), count.alias("count")
     )
 
 
+def unread_lists(sheet: DataFrame, counts: str = "frequent_values->counts_(top_10)") -> DataFrame:
+    """The rows of a sheet whose list of values cannot be read, to be reported."""
+    return sheet.where(F.col(f"`{counts}`").isNotNull() & listed_pairs(sheet, counts).isNull())
+
+
 def reference_set(labelled: DataFrame, kind: str, k: int = 20) -> DataFrame:
     """The ``k`` values (or column names) of each label with the largest sum of counts."""
-    sums = labelled.groupBy("true_label", kind).agg(F.sum("count").alias("count"))
+    sums = labelled.where(F.col(kind).isNotNull()).groupBy("true_label", kind).agg(
+        F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias("count")
+    )
     window = Window.partitionBy("true_label").orderBy(F.desc("count"), F.asc(kind))
     return sums.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 

@@ -17,13 +17,21 @@ def column_metadata(frequencies: DataFrame, k: int = 5) -> DataFrame:
 
 
 def column_records(frequencies: DataFrame, first_year: int = 1850, last_year: int = 2019) -> DataFrame:
-    """One record per column with its metadata, type statistics and itemset."""
+    """One record per column with its metadata, type statistics and itemset.
+
+    Values without a type, such as those of a date column outside the years, are in none of the
+    statistics; ``number_untyped_cells`` counts them.
+    """
     typed = profile.with_types(frequencies, first_year, last_year)
     stats = profile.type_stats(typed)
+    untyped = typed.groupBy(*KEYS).agg(
+        F.sum(F.when(F.col("type").isNull() & F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("number_untyped_cells")
+    )
     return (
         column_metadata(frequencies)
         .join(profile.data_types(stats), KEYS, "left")
         .join(itemsets.column_itemsets(stats), KEYS, "left")
+        .join(untyped, KEYS, "left")
         .withColumn("itemset", F.coalesce("itemset", F.lit("")))
     )
 

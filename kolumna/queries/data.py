@@ -20,6 +20,8 @@ COLUMNS = {
     ],
     "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
     "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "pages": ["page_id", "url", "html"],
+    "embeddings": ["vec_id", "label"],  # vectors of floats are written differently by each engine
     "benchmark": ["item_id", "text"],
     "labels": ["doc_id", "quality", "toxic"],
     "conversations": ["conv_id", "turn", "role", "text"],
@@ -37,12 +39,19 @@ MESSY = {
         when 4 then null
         when 5 then concat('.0', cast(o_orderkey % 10 as string))
         else '1e5' end""",
-    "ordered_day": """case o_orderkey % 5
+    "ordered_day": """case o_orderkey % 9
         when 0 then substr(cast(o_orderdate as string), 1, 10)
         when 1 then concat(substr(cast(o_orderdate as string), 6, 2), '/', substr(cast(o_orderdate as string), 9, 2),
                            '/', substr(cast(o_orderdate as string), 1, 4))
         when 2 then concat(substr(cast(o_orderdate as string), 1, 4), substr(cast(o_orderdate as string), 6, 2))
         when 3 then 'no date'
+        when 4 then concat(substr(cast(o_orderdate as string), 6, 2), '/', substr(cast(o_orderdate as string), 9, 2),
+                           '/', substr(cast(o_orderdate as string), 3, 2))
+        when 5 then substr(cast(o_orderdate as string), 1, 7)
+        when 6 then replace(substr(cast(o_orderdate as string), 1, 10), '-', '.')
+        when 7 then concat(substr(cast(o_orderdate as string), 9, 2), '-',
+                           substr('JanFebMarAprMayJunJulAugSepOctNovDec', cast(substr(cast(o_orderdate as string), 6, 2) as int) * 3 - 2, 3),
+                           '-', substr(cast(o_orderdate as string), 3, 2))
         else '2031-01-01' end""",
     "market_segment": """case o_orderkey % 6
         when 0 then o_orderpriority
@@ -65,8 +74,8 @@ def dataset(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return table(spark, sf_dir, name).select(*COLUMNS[name])
 
 
-def dataset_cells(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    return all_cells({name: dataset(spark, sf_dir, name) for name in names})
+def dataset_cells(spark: SparkSession, sf_dir: str, *names: str, columns: dict[str, list[str]] | None = None) -> DataFrame:
+    return all_cells({name: dataset(spark, sf_dir, name) for name in names}, columns)
 
 
 def cells_sql(*names: str) -> str:

@@ -42,10 +42,6 @@ def labels(spark):
     return spark.createDataFrame(LABELLED, "dataset string, column_name string, label string")
 
 
-def frequencies(spark, sf, names):
-    return c.value_frequencies(dataset_cells(spark, sf, *names))
-
-
 def headers(spark, sf, names):
     return schema_report(spark, {name: dataset(spark, sf, name) for name in names})
 
@@ -58,8 +54,9 @@ def listed(spark, pairs):
 
 def sample(spark, sf):
     wanted = listed(spark, [(name, column) for name, column, _ in LABELLED])
-    resolved = rs.resolve_columns(wanted, headers(spark, sf, DATASETS))
-    return rs.label_sample(wanted, resolved, frequencies(spark, sf, DATASETS))
+    resolved = written(rs.resolve_columns(wanted, headers(spark, sf, DATASETS)), "resolved")
+    cells = dataset_cells(spark, sf, *DATASETS, columns=c.listed_columns(resolved))
+    return rs.label_sample(wanted, resolved, c.value_frequencies(cells))
 
 
 def sheet(spark, sf):
@@ -118,19 +115,18 @@ def best_types(**options):
     return query
 
 
-def typed(spark, sf):
+def typing_inputs(spark, sf):
     labelled = labelled_values(spark, sf)
-    return semantic_typing.typed_cells(
-        dataset_cells(spark, sf, *TYPED_DATASETS),
-        listed(spark, TYPED),
-        headers(spark, sf, TYPED_DATASETS),
-        column_refs(spark, sf, labelled),
-        value_refs(spark, sf, labelled),
-    )
+    tables = {name: dataset(spark, sf, name) for name in TYPED_DATASETS}
+    return tables, listed(spark, TYPED), column_refs(spark, sf, labelled), value_refs(spark, sf, labelled)
+
+
+def typed(spark, sf):
+    return semantic_typing.typed_cells(*typing_inputs(spark, sf))
 
 
 def semantic_records(spark, sf):
-    records = sem.semantic_records(sem.type_counts(typed(spark, sf)))
+    records = semantic_typing.run(*typing_inputs(spark, sf))
     shown = "transform(semantic_types, t -> concat(t.semantic_type, ' ', coalesce(t.label, ''), ' ', t.count))"
     return records.select(*c.KEYS, F.expr(f"array_join({shown}, ', ')").alias("semantic_types"))
 
@@ -141,6 +137,15 @@ def grown(spark, sf):
     return sem.grown_reference(refs, near).select("s_type", "target", "target_order")
 
 
+def grown_from_types(spark, sf):
+    """The reference set grown by the values of the typed columns themselves."""
+    tables, wanted, _, refs = typing_inputs(spark, sf)
+    resolved = written(rs.resolve_columns(wanted, headers(spark, sf, TYPED_DATASETS)), "resolved")
+    values = c.all_cells(tables, c.listed_columns(resolved)).where("value is not null").select("value").distinct()
+    near = m.nearest(values.withColumn("text", F.col("value")), refs, ["value"])
+    return sem.grown_reference(refs, near).select("s_type", "target", "target_order")
+
+
 def order_truth(spark, sf):
     """A sheet made of orders: each order a column, labelled with its status and priority."""
     return table(spark, sf, "orders").select(
@@ -239,6 +244,7 @@ QUERIES = {
     "semantic_counts": lambda spark, sf: sem.type_counts(typed(spark, sf)),
     "semantic_records": semantic_records,
     "grown_reference": grown,
+    "grown_from_types": grown_from_types,
     "aligned_labels": aligned,
     "precision": lambda spark, sf: rounded(ev.precision(aligned(spark, sf)), "precision"),
     "recall": lambda spark, sf: rounded(ev.recall(aligned(spark, sf)), "recall"),
@@ -402,6 +408,18 @@ ALIGNED = """(select column_name, true_label, semantic_type, count(*) as n from
     full outer join (select distinct concat('orders', l_orderkey, '.state.txt.gz') as column_name,
             unnest([l_linestatus, l_returnflag]) as semantic_type from lineitem) using (column_name) group by all)"""
 
+
+def grown_sql(distances):
+    return f"""with refs as {refs_sql("values")},
+        near as (select value, s_type, distance from ({nearest_sql(distances, "value")})
+          where round(distance, 12) between 0.10 and 0.65),
+        fresh as (select s_type, value, distance from near anti join refs on refs.s_type = near.s_type and refs.target = near.value),
+        have as (select s_type, max(ord) as have from refs group by all)
+      select s_type, target, ord as target_order from refs union all
+      select s_type, value, have + row_number() over (partition by s_type order by distance, value) as target_order
+      from fresh join have using (s_type) qualify target_order <= 30"""
+
+
 NAME = "concat(p_brand, ' ', p_name)"
 FORM_SQL = forms_sql(NAME)
 NAME_DISTANCE = distance_sql("p_name", NAME, shingles_sql("p_name"), shingles_sql(NAME))
@@ -442,14 +460,10 @@ SQL = {
         as semantic_types from (select *, case when s_type in ({LABEL_LIST}) then s_type else 'other' end as known,
           case when s_type in ({LABEL_LIST}) then null else s_type end as label,
           concat(known, ' ', coalesce(label, ''), ' ', n) as shown from counts) group by all""",
-    "grown_reference": f"""with refs as {refs_sql("values")},
-        near as (select value, s_type, distance from ({nearest_sql(PART_DISTANCES, "value")})
-          where round(distance, 12) between 0.10 and 0.65),
-        fresh as (select s_type, value, distance from near anti join refs on refs.s_type = near.s_type and refs.target = near.value),
-        have as (select s_type, max(ord) as have from refs group by all)
-      select s_type, target, ord as target_order from refs union all
-      select s_type, value, have + row_number() over (partition by s_type order by distance, value) as target_order
-      from fresh join have using (s_type) qualify target_order <= 30""",
+    "grown_reference": grown_sql(PART_DISTANCES),
+    "grown_from_types": grown_sql(distances_sql(
+        f"""(select distinct value from ({frequencies_sql(*TYPED_DATASETS)}) semi join {resolved_sql(TYPED, TYPED_DATASETS)} r
+             using (dataset, column_name) where value is not null)""", refs_sql("values"))),
     "aligned_labels": f"select * from {ALIGNED}",
     "precision": f"""select semantic_type, coalesce(round(sum(n) filter (true_label = semantic_type) /
         nullif(sum(n) filter (true_label is not null), 0), 6), 0) as precision from {ALIGNED}

@@ -13,7 +13,7 @@ from kolumna.queries.data import cells_sql, dataset, dataset_cells, frequencies_
 TYPED = ("customer", "part", "orders", "events", "messy")
 SMALL = ("nation", "customer", "part", "orders", "messy")
 ALL = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "embeddings",
     "benchmark", "labels", "conversations", "messy",
 )
 
@@ -51,7 +51,7 @@ def text_stats(spark, sf):
 
 
 def column_records(spark, sf):
-    records = profile_report.column_records(frequencies(spark, sf, *ALL))
+    records = profile_report.run(dataset_cells(spark, sf, *ALL))
     return records.select(
         *c.KEYS,
         "number_distinct_values",
@@ -59,6 +59,7 @@ def column_records(spark, sf):
         "number_empty_cells",
         joined("frequent_values"),
         "itemset",
+        "number_untyped_cells",
         F.expr("coalesce(aggregate(data_types, 0L, (a, t) -> a + t.count), 0L)").alias("typed_cells"),
         F.expr("array_join(transform(data_types, t -> concat(t.type, ' ', t.count)), ', ')").alias("type_counts"),
         F.expr("round(get(filter(data_types, t -> t.type = 'REAL'), 0).mean, 4)").alias("real_mean"),
@@ -77,7 +78,9 @@ def number_stats(stats):
 
 QUERIES = {
     "cells": lambda spark, sf: dataset_cells(spark, sf, *SMALL),
-    "one_column": lambda spark, sf: c.column_cells(dataset_cells(spark, sf, "customer"), "c_mktsegment"),
+    "one_column": lambda spark, sf: dataset_cells(
+        spark, sf, "customer", columns={"customer": ["c_mktsegment"]}
+    ),
     "column_names": lambda spark, sf: c.column_names(dataset_cells(spark, sf, *SMALL)),
     "value_frequencies": lambda spark, sf: frequencies(spark, sf, *SMALL),
     "column_aggregate": lambda spark, sf: c.aggregate_columns(
@@ -147,6 +150,10 @@ def typed_sql(*names):
       from (select *, case when not date_name then null
           when regexp_full_match(value, '\\d{{4}}-\\d{{2}}-\\d{{2}}.*') then try_cast(value as timestamp)
           when regexp_full_match(value, '\\d{{2}}/\\d{{2}}/\\d{{4}}') then try_strptime(value, '%m/%d/%Y')
+          when regexp_full_match(value, '\\d{{2}}/\\d{{2}}/\\d{{2}}') then try_strptime(value, '%m/%d/%y')
+          when regexp_full_match(value, '\\d{{4}}-\\d{{2}}') then try_strptime(value, '%Y-%m')
+          when regexp_full_match(value, '\\d{{4}}\\.\\d{{2}}\\.\\d{{2}}') then try_strptime(value, '%Y.%m.%d')
+          when regexp_full_match(value, '\\d{{2}}-[A-Za-z]{{3}}-\\d{{2}}') then try_strptime(value, '%d-%b-%y')
           when regexp_full_match(value, '\\d{{6}}') then try_strptime(value, '%Y%m') end as moment
       from (select *, regexp_matches(lower(column_name), 'date|period|year|month|day|time|interval') as date_name
       from ({cells_sql(*names)}))))"""
@@ -219,6 +226,8 @@ SQL = {
     "column_records": f"""with typed as ({typed_sql(*ALL)}),
         by_type as (select dataset, column_name, type, count(*) as n, avg(number) as mean, stddev_pop(number) as sd,
                       max(moment) as last from typed where type is not null group by all),
+        untyped as (select dataset, column_name, count(*) filter (type is null and value is not null) as number_untyped_cells
+                    from typed group by all),
         types as (select dataset, column_name, cast(sum(n) as bigint) as typed_cells,
                     string_agg(concat(type, ' ', n), ', ' order by type) as type_counts,
                     round(max(case when type = 'REAL' then mean end), 4) as real_mean,
@@ -228,9 +237,9 @@ SQL = {
         freq as (select dataset, column_name, value, count(*) as n from typed group by all),
         meta as (select dataset, column_name, {COUNTS} from freq group by all)
       select dataset, column_name, number_distinct_values, number_non_empty_cells, number_empty_cells,
-        frequent_values, itemset, coalesce(typed_cells, 0) as typed_cells, type_counts, real_mean, integer_stddev,
+        frequent_values, itemset, number_untyped_cells, coalesce(typed_cells, 0) as typed_cells, type_counts, real_mean, integer_stddev,
         last_date, shortest_values
-      from meta left join types using (dataset, column_name)
+      from meta left join types using (dataset, column_name) left join untyped using (dataset, column_name)
         left join ({top_sql(ALL, 5)}) using (dataset, column_name)
         left join ({itemset_sql(*ALL)}) using (dataset, column_name)
         left join ({TEXT_EXTREMES}) using (dataset, column_name)""",

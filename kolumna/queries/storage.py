@@ -6,16 +6,17 @@ from pyspark.sql import functions as F
 
 from kolumna.operators import evaluation as ev
 from kolumna.operators import reference_sets as rs
-from kolumna.operators.cells import KEYS, value_frequencies
-from kolumna.plans import profile_report
+from kolumna.operators.cells import KEYS
+from kolumna.plans import profile_report, semantic_typing
 from kolumna.queries import matching
 from kolumna.queries.data import dataset, dataset_cells, frequencies_sql, table
+from kolumna.queries.profiling import QUERIES as PROFILE
 from kolumna.queries.profiling import SQL as PROFILE_SQL
-from kolumna.session import scratch_folder
+from kolumna.session import scratch_folder, written
 from kolumna.sinks import files as sinks
 from kolumna.sources import files, listed
 
-TSV = ("nation", "customer", "part", "messy")
+TSV = ("nation", "customer", "part", "messy", "documents", "conversations", "pages")
 
 
 def tsv_folder(spark, sf):
@@ -26,7 +27,7 @@ def tsv_folder(spark, sf):
 
 
 def listed_files(spark, sf):
-    return files.within_size(files.dataset_files(files.list_files(spark, tsv_folder(spark, sf))))
+    return files.dataset_files(files.list_files(spark, tsv_folder(spark, sf)))
 
 
 def folder_name(column):
@@ -36,13 +37,29 @@ def folder_name(column):
 def dataset_files(spark, sf):
     """The folders of the files written, and whether size order and limits keep every file once."""
     found = listed_files(spark, sf)
-    kept = files.first_files(found, 1_000_000).unionByName(files.oversized(found))
+    kept = files.within_size(found, files.SIZE_LIMIT).unionByName(files.oversized(found, files.SIZE_LIMIT))
     return kept.groupBy(folder_name("path").alias("dataset")).agg((F.min("length") > 0).alias("filled"))
 
 
+def first_files(spark, sf):
+    """Of the files in size order the first three, and whether the others are as large."""
+    found = written(listed_files(spark, sf), "files")
+    first = files.first_files(found, 3)
+    rest = found.join(first.select("path"), "path", "left_anti").agg(F.min("length").alias("least"), F.count("*").alias("others"))
+    return first.agg(F.max("length").alias("most"), F.count("*").alias("files")).join(rest, F.lit(True)).select(
+        "files", (F.col("others") > 0).alias("more"), (F.col("most") <= F.col("least")).alias("smallest")
+    )
+
+
+def shuffled_files(spark, sf):
+    """Files in random order: the same ones, the order depends on the seed alone."""
+    found = written(listed_files(spark, sf), "files")
+    return files.shuffled(found, 7).groupBy(folder_name("path").alias("dataset")).agg(F.min(F.col("length") > 0).alias("filled"))
+
+
 def tsv_frequencies(spark, sf):
     paths = [row.path for row in files.by_size(listed_files(spark, sf)).collect()]
-    return files.tsv_frequencies(spark, paths, 16, folder_name("file"))
+    return files.tsv_frequencies(spark, paths, folder_name("file"))
 
 
 def one_tsv(spark, sf):
@@ -81,10 +98,47 @@ def predictions_from_results(spark, sf):
 
 def profile_folder(spark, sf):
     path = scratch_folder(spark, "profile")
-    records = profile_report.column_records(value_frequencies(dataset_cells(spark, sf, "nation", "customer", "messy")))
-    sinks.write_profile(records, path)
+    sinks.write_profile(profile_report.run(dataset_cells(spark, sf, "nation", "customer", "messy")), path)
     read = spark.read.json(path)
-    return read.select(*KEYS, "number_distinct_values", "itemset", F.coalesce(F.size("data_types"), F.lit(0)).alias("types"))
+    statistic = "round(get(filter(data_types, t -> t.type = '{}'), 0).{}, 4)"
+    return read.select(
+        *KEYS, "number_distinct_values", "itemset", F.coalesce(F.size("data_types"), F.lit(0)).alias("types"),
+        "number_untyped_cells", F.expr("coalesce(aggregate(data_types, 0L, (a, t) -> a + t.count), 0L)").alias("typed_cells"),
+        F.expr(statistic.format("REAL", "mean")).alias("real_mean"),
+        F.expr(statistic.format("INTEGER", "stddev")).alias("integer_stddev"),
+        F.expr("get(filter(data_types, t -> t.type = 'DATE/TIME'), 0).max_value").alias("last_date"),
+        F.expr("array_join(get(filter(data_types, t -> t.type = 'TEXT'), 0).shortest_values, ' | ')").alias("shortest_values"),
+    )
+
+
+def itemset_tally(spark, sf):
+    path = scratch_folder(spark, "itemsets")
+    sinks.write_json(PROFILE["total_itemsets"](spark, sf), path)
+    return spark.read.json(path, schema="itemset string, n bigint")
+
+
+def semantic_results(spark, sf):
+    """The records of the typed columns, written and read back."""
+    path = scratch_folder(spark, "semantic")
+    sinks.write_json(semantic_typing.run(*matching.typing_inputs(spark, sf)), path)
+    read = spark.read.json(path, schema="dataset string, " + listed.RESULTS)
+    shown = "transform(semantic_types, t -> concat(t.semantic_type, ' ', coalesce(t.label, ''), ' ', t.count))"
+    return read.select(*KEYS, F.expr(f"array_join({shown}, ', ')").alias("semantic_types"))
+
+
+def missing_columns_file(spark, sf):
+    path = scratch_folder(spark, "missing")
+    sinks.write_csv(matching.QUERIES["missing_columns"](spark, sf), path)
+    return spark.read.csv(path, header=True, **files.READ_OPTIONS)
+
+
+def measures_file(name):
+    def query(spark, sf):
+        path = scratch_folder(spark, name)
+        sinks.write_csv(matching.QUERIES[name](spark, sf), path)
+        return spark.read.csv(path, header=True, **files.READ_OPTIONS).withColumn(name, F.col(name).cast("double"))
+
+    return query
 
 
 QUERIES = {
@@ -95,6 +149,13 @@ QUERIES = {
     "reference_from_sheet": reference_from_sheet,
     "predictions_from_results": predictions_from_results,
     "profile_folder": profile_folder,
+    "first_files": first_files,
+    "shuffled_files": shuffled_files,
+    "itemset_tally": itemset_tally,
+    "semantic_results": semantic_results,
+    "missing_columns_file": missing_columns_file,
+    "precision_file": measures_file("precision"),
+    "recall_file": measures_file("recall"),
 }
 
 SQL = {
@@ -109,6 +170,14 @@ SQL = {
     "predictions_from_results": """select semantic_type, count(*) as columns from (select distinct l_orderkey,
         unnest([l_linestatus, l_returnflag]) as semantic_type from lineitem) group by all""",
     "profile_folder": f"""select dataset, column_name, number_distinct_values, itemset,
-        cast(len(regexp_replace(itemset, '[A-Z]', '', 'g')) / 2 as bigint) as types
+        cast(len(regexp_replace(itemset, '[A-Z]', '', 'g')) / 2 as bigint) as types, number_untyped_cells,
+        typed_cells, real_mean, integer_stddev, last_date, shortest_values
       from ({PROFILE_SQL["column_records"]}) where dataset in ('nation', 'customer', 'messy')""",
+    "first_files": "select 3::bigint as files, true as more, true as smallest",
+    "shuffled_files": " union all ".join(f"select '{name}' as dataset, true as filled" for name in TSV),
+    "itemset_tally": PROFILE_SQL["total_itemsets"],
+    "semantic_results": matching.SQL["semantic_records"],
+    "missing_columns_file": matching.SQL["missing_columns"],
+    "precision_file": matching.SQL["precision"],
+    "recall_file": matching.SQL["recall"],
 }

@@ -6,7 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+_written: dict[str, list[str]] = {}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -19,10 +20,18 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables.
 
     It lies under the folder the cluster names in ``spark.checkpoint.dir``, which every executor can
-    reach. Only where that is unset (tests, one machine) a temporary folder is used instead.
+    reach. Where that is unset, a temporary folder serves a local master, whose executors share the
+    driver's disk; on a cluster the tables would be scattered over its machines, so that is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kolumna-")
-    return f"{base.rstrip('/')}/kolumna-{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"master {master}: set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="kolumna-")
+    path = f"{base.rstrip('/')}/kolumna-{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -33,9 +42,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only after counting at most ``max_rows`` + 1 rows.
-
-    A larger table is returned without a hint, so that the join shuffles instead.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def remove_written(spark: SparkSession) -> list[str]:
+    """Delete the intermediate tables of this application, at the end of a job: results that still
+    read them must have been written or collected. Returns the folders."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(hadoop).delete(folder, True)
+    return paths

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kolumna.functions import value_types as vt
+from kolumna.sources.files import TEXT_OPTIONS
 
 
 def type_entry(entry: Column) -> Column:
@@ -27,7 +28,7 @@ def write_profile(records: DataFrame, path: str) -> None:
     """Column records as JSON, one folder per dataset. Only the folders of the datasets written are
     replaced, so a run can be repeated or continued dataset by dataset."""
     shown = records.withColumn("data_types", F.transform("data_types", type_entry))
-    shown.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset").json(path)
+    shown.repartition("dataset").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset").json(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -41,9 +42,9 @@ def write_csv(df: DataFrame, path: str) -> None:
         else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ]
-    df.select(*flat).write.mode("overwrite").csv(path, header=True, escape='"')
+    df.select(*flat).write.mode("overwrite").csv(path, header=True, **TEXT_OPTIONS)
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
     """Compressed tab-separated files, each with a header."""
-    df.write.mode("overwrite").csv(path, sep="\t", header=True, compression="gzip", escape='"')
+    df.write.mode("overwrite").csv(path, sep="\t", header=True, compression="gzip", **TEXT_OPTIONS)

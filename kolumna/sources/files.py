@@ -6,12 +6,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kolumna.operators.cells import KEYS
-from kolumna.session import broadcast_if_small
+from kolumna.session import written
 
-# The index file that is no dataset, and the size in bytes from which files are skipped.
+# The index file that is no dataset, and the size in bytes from which files may be skipped.
 INDEX_FILE = "datasets.tsv.gz"
 SIZE_LIMIT = 600_000_000
 
+#: How delimited text is written and read: quotes inside quotes are doubled, cells may hold line
+#: breaks and keep their outer blanks. A file is one task then, as a compressed one is anyway.
+TEXT_OPTIONS = {
+    "quote": '"', "escape": '"', "lineSep": "\n", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+READ_OPTIONS = {**TEXT_OPTIONS, "multiLine": True, "maxCharsPerColumn": -1}
+
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path, length) of all files below a folder; contents are not read."""
@@ -28,13 +35,14 @@ def dataset_files(files: DataFrame) -> DataFrame:
     return files.where(name.endswith(".gz") & (name != INDEX_FILE))
 
 
-def within_size(files: DataFrame, limit: int = SIZE_LIMIT) -> DataFrame:
-    return files.where(F.col("length") < limit)
+def within_size(files: DataFrame, limit: int | None = None) -> DataFrame:
+    """The files below a limit in bytes, all by default; ``oversized`` has the others."""
+    return files if limit is None else files.where(F.col("length") < limit)
 
 
-def oversized(files: DataFrame, limit: int = SIZE_LIMIT) -> DataFrame:
-    """The files that ``within_size`` leaves out, to be reported."""
-    return files.where(F.col("length") >= limit)
+def oversized(files: DataFrame, limit: int | None = None) -> DataFrame:
+    """The files that ``within_size`` leaves out, to be reported with its result."""
+    return files.where(F.lit(False) if limit is None else F.col("length") >= limit)
 
 
 def by_size(files: DataFrame) -> DataFrame:
@@ -51,41 +59,38 @@ def first_files(files: DataFrame, n: int) -> DataFrame:
 
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     """One tab-separated file with a header as a wide table with inferred types."""
-    return spark.read.csv(path, sep="\t", header=True, inferSchema=True)
-
-
-def _rows(spark: SparkSession, paths: list[str], max_columns: int) -> DataFrame:
-    names = [f"c{i}" for i in range(max_columns + 1)]
-    rows = spark.read.csv(paths, sep="\t", header=False, schema=", ".join(f"{n} string" for n in names))
-    return rows.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"), *names)
+    return spark.read.csv(path, sep="\t", header=True, inferSchema=True, **READ_OPTIONS)
 
 
-def excess_columns(spark: SparkSession, paths: list[str], max_columns: int) -> DataFrame:
-    """Files with rows of more than ``max_columns`` cells, with the number of such rows."""
-    rows = _rows(spark, paths, max_columns)
-    return rows.where(F.col(f"c{max_columns}").isNotNull()).groupBy("file").agg(F.count("*").alias("rows"))
+def widest_row(spark: SparkSession, paths: list[str]) -> int:
+    """Cells of the widest line of all files; a tab inside quotes counts, so no row has more."""
+    tabs = F.length("value") - F.length(F.replace("value", F.lit("\t"), F.lit("")))
+    return 1 + (spark.read.text(paths, lineSep="\n").agg(F.max(tabs)).first()[0] or 0)
 
 
-def tsv_frequencies(
-    spark: SparkSession, paths: list[str], max_columns: int = 256, dataset: Column | None = None
-) -> DataFrame:
-    """Value frequencies of all columns of many compressed files, in one scan and one wide shuffle.
+def tsv_frequencies(spark: SparkSession, paths: list[str], dataset: Column | None = None) -> DataFrame:
+    """Value frequencies of all columns of many compressed files, in one wide shuffle.
 
-    Files may differ in their columns; values are raw text, an empty cell is null. A compressed file
-    is read by one task from its start, so its header is the row with its smallest row number: the
-    header cells are found among the counted values and taken out again. ``dataset`` (of ``file``)
-    names the dataset, by default the file's name; files of one dataset are added up. Names that
-    occur twice in a header get their position, columns without a name are called ``_c`` + position.
+    Files may differ in their columns, and none is cut off: one look at the lines finds how wide the
+    widest is. Values are raw text, an empty cell is null. A file is read by one task from its start,
+    so its header is the row with its smallest row number: the header cells are found among the
+    counted values, which are written once, and taken out again. ``dataset`` (of ``file``) names the
+    dataset, by default the file's name; files of one dataset are added up. Names that occur twice in
+    a header get their position, columns without a name are called ``_c`` + position.
     """
-    cells = F.array(*[F.col(f"c{i}") for i in range(max_columns)], F.lit(""))
-    exploded = _rows(spark, paths, max_columns).select("file", "row", F.posexplode_outer(cells).alias("pos", "value"))
+    width = widest_row(spark, paths)
+    names = [f"c{i}" for i in range(width)]
+    rows = spark.read.csv(paths, sep="\t", header=False, schema=", ".join(f"{n} string" for n in names), **READ_OPTIONS)
+    rows = rows.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"), *names)
+    exploded = rows.select("file", "row", F.posexplode(F.array(*names, F.lit(""))).alias("pos", "value"))
     counted = exploded.where(F.col("value").isNotNull()).groupBy("file", "pos", "value").agg(
         F.count("*").alias("n"), F.min("row").alias("first")
     )
+    counted = written(counted, "counted")
     # The constant last cell counts the rows of each file.
-    is_marker = F.col("pos") == max_columns
+    is_marker = F.col("pos") == width
     files = counted.where(is_marker).select("file", (F.col("n") - 1).alias("rows"), F.col("first").alias("head"))
-    known = counted.where(~is_marker).join(broadcast_if_small(files), "file")
+    known = counted.where(~is_marker).join(files, "file")
     in_head = F.col("first") == F.col("head")
     columns = known.groupBy("file", "pos").agg(
         F.max(F.when(in_head, F.col("value"))).alias("header"),
@@ -103,7 +108,7 @@ def tsv_frequencies(
         "file", "pos", "rows", "filled", name.otherwise(F.col("header")).alias("column_name")
     )
     values = known.withColumn("n", F.col("n") - in_head.cast("int")).where(F.col("n") > 0)
-    values = values.join(broadcast_if_small(named.select("file", "pos", "column_name")), ["file", "pos"])
+    values = values.join(named.select("file", "pos", "column_name"), ["file", "pos"])
     empties = named.select(
         "file", "column_name", F.lit(None).cast("string").alias("value"), (F.col("rows") - F.col("filled")).alias("n")
     ).where(F.col("n") > 0)

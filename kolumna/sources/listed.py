@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kolumna.sources.files import READ_OPTIONS
+
 SHEET = ["ds_path", "col_name_ta", "col_name", "frequent_values->counts_(top_10)"]
 RESULTS = "column_name string, semantic_types array<struct<semantic_type: string, label: string, count: bigint>>"
 
@@ -29,7 +31,7 @@ def read_catalog(spark: SparkSession, path: str, folder: str) -> DataFrame:
 
 
 def _csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, multiLine=True, escape='"')
+    return spark.read.csv(path, header=True, **READ_OPTIONS)
 
 
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
