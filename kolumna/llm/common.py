@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from kolumna.session import prepare, written
 
 #: Bytes in a record batch handed to Python, so that a batch of long texts still fits a worker.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
 
 #: Words are runs of anything but these six ASCII blanks.
 BLANKS = " \t\n\x0b\x0c\r"

@@ -239,10 +239,9 @@ def near_copy_classes(docs: DataFrame, bands: int = BANDS, bits: int = BAND_BITS
     layout = ", ".join(f"{n} long" for n in names)
 
     def of(batch: pa.RecordBatch) -> dict:
-        words = [t.lower().split() for t in as_bytes(batch.column(2))]
-        found = [word_bands(w, bands) for w in words]
-        signs = {n: [f[i] for f in found] for i, n in enumerate(names)}
-        return {"doc_id": batch.column(0), "row": batch.column(1)} | signs | {"sketch": [shingle_sketch(w) for w in words]}
+        found = [(*word_bands(w, bands), shingle_sketch(w)) for w in (t.lower().split() for t in as_bytes(batch.column(2)))]
+        signs = {n: [f[i] for f in found] for i, n in enumerate([*names, "sketch"])}
+        return {"doc_id": batch.column(0), "row": batch.column(1)} | signs
 
     text = F.col(text_column).cast("string")
     picked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(F.col(id_column).cast("long"), text).alias("row"), text.alias("text"))
