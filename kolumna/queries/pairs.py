@@ -63,6 +63,12 @@ QUERIES = {
     "normalized_levenshtein_pairs": lambda spark, sf: scores(
         e.normalized_levenshtein_pairs(part_names(spark, sf), max_distance=0.3), "distance", "similarity"
     ),
+    "normalized_levenshtein_urls": lambda spark, sf: scores(
+        e.normalized_levenshtein_pairs(strings(spark, sf, "pages", "page_id", "url"), max_distance=0.25), "distance", "similarity"
+    ),
+    "metric_subsequence_names": lambda spark, sf: scores(
+        e.metric_subsequence_pairs(strings(spark, sf, "supplier", "s_suppkey", "s_name"), max_distance=0.06), "distance"
+    ),
     "alignment_pairs": lambda spark, sf: e.alignment_pairs(
         part_names(spark, sf), strings(spark, sf, "part", "p_partkey", SWAPPED), max_distance=1
     ).select("value0", "value1", "distance"),
@@ -117,6 +123,19 @@ WINKLER = f"""(case when jaro_similarity(a.value, b.value) > 0.7
     then jaro_similarity(a.value, b.value) + least(0.1, 1 / {LONGER}) * {PREFIX} * (1 - jaro_similarity(a.value, b.value))
     else jaro_similarity(a.value, b.value) end)"""
 
+# Longest common subsequence of two strings, row by row.
+COMMON = """list_reduce(
+    list_concat([list_transform(range(0, length(b.value) + 1), lambda z: 0)], list_transform(range(1, length(a.value) + 1), lambda i: [i])),
+    lambda above, x: list_reduce(
+        list_concat([[0]], list_transform(range(1, length(b.value) + 1), lambda j: [j])),
+        lambda row, y: list_append(row, greatest(row[-1], above[y[1] + 1],
+            above[y[1]] + case when substr(a.value, x[1], 1) = substr(b.value, y[1], 1) then 1 else 0 end))))[-1]"""
+
+
+def common_sql(source):
+    return f"select *, {COMMON} as common, {LONGER} as longer from ({source}) a join ({source}) b on a.id < b.id"
+
+
 SQL = {
     "distinct_strings": f"select id, length(value) as size, copies from ({DOCUMENTS})",
     "shingle_counts": f"select id, value, shingle, n from ({profile_sql(PART_TEXTS, 3)}) join ({PART_TEXTS}) using (id)",
@@ -162,4 +181,16 @@ SQL = {
         PARTS, f"a.id as id0, b.id as id1, round({WINKLER}, 6) as similarity, round(1 - {WINKLER}, 6) as distance",
         f"{WINKLER} >= 0.85",
     ),
+    "normalized_levenshtein_urls": self_sql(
+        strings_sql("pages", "page_id", "url"),
+        f"""a.id as id0, b.id as id1, round(levenshtein(a.value, b.value) / {LONGER}, 6) as distance,
+            round(1 - levenshtein(a.value, b.value) / {LONGER}, 6) as similarity""",
+        f"levenshtein(a.value, b.value) / {LONGER} <= 0.25",
+    ),
+    "subsequence_pairs": f"""select value as value0, value_1 as value1, length(value) + length(value_1) - 2 * common as distance
+        from ({common_sql(PARTS)}) where length(value) + length(value_1) - 2 * common <= 3""",
+    "metric_subsequence_pairs": f"""select id as id0, id_1 as id1, round(1 - common / longer, 6) as distance
+        from ({common_sql(PARTS)}) where 1 - common / longer <= 0.25 + 1e-12""",
+    "metric_subsequence_names": f"""select id as id0, id_1 as id1, round(1 - common / longer, 6) as distance
+        from ({common_sql(strings_sql("supplier", "s_suppkey", "s_name"))}) where 1 - common / longer <= 0.06 + 1e-12""",
 }
