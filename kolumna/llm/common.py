@@ -88,14 +88,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 def running_total(
     df: DataFrame, groups: list[str], order: list[Column], spread: Column, amount: str, total: str, buckets: int
 ) -> DataFrame:
-    """Add ``total``: the sum of ``amount`` over the rows before this one in its group, by (bucket, order).
+    """Add ``total``: the sum of ``amount`` over the rows before this one in its group, by ``order``.
 
-    ``spread`` is an evenly spread long; its remainder by ``buckets`` cuts every group into buckets,
-    so that the largest group is ordered by many tasks. Bucket sums are added up in two steps, so
+    ``spread`` in [0, 1) is even and never decreases in that order; it cuts every group into
+    ``buckets``, so that the largest group is ordered by many tasks. Bucket sums are added up in two steps, so
     that only about the square root of their number meets in one window.
     """
     across = max(1, math.isqrt(buckets))
-    cut = df.withColumn("__bucket", F.pmod(spread, F.lit(buckets)))
+    cut = df.withColumn("__bucket", F.least(F.floor(spread * buckets), F.lit(buckets - 1)).cast("long"))
     sums = cut.groupBy(*groups, "__bucket").agg(F.sum(amount).alias("__amount"))
     sums = sums.withColumn("__shelf", F.floor(F.col("__bucket") / across))
     shelves = sums.groupBy(*groups, "__shelf").agg(F.sum("__amount").alias("__amount"))

@@ -195,3 +195,37 @@ def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     counts = ", ".join(f"n_{rule.kind} long" for rule in base)
     picked = docs.select(F.col(id_column).cast("long"), F.col(text_column).cast("string"))
     return map_batches(picked, scan, f"doc_id long, {counts}, base_sha256 string, spans string")
+
+
+def spans_sql(base=BASE, more=MORE) -> str:
+    """The query's columns for ``documents`` in SQL: places follow from the lengths of matches and of what lies between them."""
+
+    def expression(pattern: re.Pattern) -> str:
+        text = pattern.pattern.replace("'", "''")
+        if pattern.flags & re.IGNORECASE:  # spelled out, as other engines fold letters beyond A to Z
+            text = re.sub(r"(?<![\\\[A-Za-z0-9-])[a-z]{3,}", lambda m: "".join(f"[{c}{c.upper()}]" for c in m.group()), text)
+        return text
+
+    found = "\nunion all ".join(
+        f"""select doc_id, '{rule.kind}' as kind, {place} as place, {rule.least} as least, string_split_regex(t, '{expression(rule.pattern)}') as between,
+        regexp_extract_all(t, '{expression(rule.pattern)}') as ms, regexp_extract_all(t, '{expression(rule.pattern)}', {rule.group}) as gs from texts"""
+        for place, rule in enumerate((*base, *more))
+    )
+    counts = ", ".join(f"count(*) filter (kind = '{rule.kind}') as n_{rule.kind}" for rule in base)
+    names = ", ".join(f"coalesce(n_{rule.kind}, 0) as n_{rule.kind}" for rule in base)
+    return f"""
+with texts as (select doc_id, coalesce(text, '') as t from documents),
+found as ({found}),
+numbered as (select *, unnest(range(1, len(ms) + 1)) as k from found),
+spans as (
+    select doc_id, kind, place, length(ms[k]) as n, list_sum(list_transform(between[1:k], lambda x: length(x)))
+        + coalesce(list_sum(list_transform(ms[1:k - 1], lambda x: length(x))), 0) as b
+    from numbered where length(gs[k]) >= least
+),
+shown as (select *, concat(kind, ':', cast(b as bigint), ':', cast(b + n as bigint)) as span from spans),
+sums as (
+    select doc_id, {counts}, string_agg(span, ',' order by b, place) filter (place < {len(base)}) as own,
+        string_agg(span, ',' order by b, place, n) as every from shown group by doc_id
+)
+select doc_id, {names}, sha256(coalesce(own, '')) as base_sha256, coalesce(every, '') as spans
+from texts left join sums using (doc_id)"""

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kolumna.llm.common import running_total
-from kolumna.llm.shards import n_bytes
+from kolumna.llm.shards import HASH_BITS, n_bytes, row_hash
 
 #: Slots of a frame: weights are multiples of one slot. With more sources than half of it, it grows to two for each.
 FRAME = 1000
@@ -66,7 +66,7 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block
     have their place, an empty table stays empty, columns with a result's name are replaced.
     """
     docs = docs.drop("block", "release", "deadline", "slot").withColumns(
-        {"__bytes": n_bytes(text_column), "__order": F.xxhash64(id_column, text_column)}
+        {"__bytes": n_bytes(text_column), "__order": row_hash(id_column, text_column)}
     )
     sizes = docs.groupBy(source_column).agg(F.sum("__bytes").alias("bytes"), F.count("*").alias("n")).collect()  # one row for each source
     if weights is None:
@@ -80,7 +80,7 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block
         [(s, slots[s], *rest) for s, *rest in schedule(slots)], "__source string, __n long, __i long, __release long, __deadline long, __slot long"
     )
     groups = max([1, *(math.ceil(r.n / GROUP_ROWS) for r in sizes)])
-    spread = F.xxhash64("__order")
+    spread = F.col("__order") / F.lit(2.0**HASH_BITS)
     placed = running_total(docs, [source_column], [F.col("__order"), F.col(id_column)], spread, "__bytes", "__total", groups)
     placed = placed.withColumn("block", F.floor(F.col("__total") / block_bytes))
     share = F.broadcast(table.select("__source", "__n").distinct().withColumnRenamed("__source", "__owner"))  # one row for each source
@@ -98,3 +98,42 @@ def in_order(docs: DataFrame, **options) -> DataFrame:
     """``docs`` in the order of the mixture."""
     placed = mixed(docs, **options)
     return placed.orderBy("slot", "__order", options.get("id_column", "doc_id")).select(*docs.columns)
+
+
+def mixture_sql(block_bytes: int = BLOCK_BYTES, frame: int = FRAME) -> str:
+    """The same for ``documents`` in SQL: slots by largest remainders, one frame by a recursion over its slots."""
+    return f"""
+with recursive rows as (
+    select doc_id, source, coalesce(strlen(text), 0) as size,
+        cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':' || coalesce(text, '')), 1, {HASH_BITS // 4}) as bigint) as h
+    from documents
+),
+sizes as (select source, pow(greatest(1, sum(size)), {FLATTEN}) as w from rows group by source),
+shares as (
+    select source, (f - s) * w / total as exact, f, s
+    from sizes, (select greatest({frame}, 2 * count(*)) as f, count(*) as s, sum(w) as total from sizes)
+),
+slots as (
+    select source, f, 1 + cast(floor(exact) as bigint)
+        + case when row_number() over (order by floor(exact) - exact, source) <= f - s - sum(cast(floor(exact) as bigint)) over () then 1 else 0 end as n
+    from shares
+),
+lists as (select list(source order by source) as sources, list(n order by source) as ns, any_value(f) as f from slots),
+frame_slots as (
+    select 0::bigint as slot, list_transform(ns, lambda n: 0::bigint) as served, cast(null as bigint) as pick, ns, f, sources from lists
+    union all
+    select slot + 1, list_transform(served, lambda c, i: case when i = chosen then c + 1 else c end), chosen, ns, f, sources
+    from (select *, list_min(list_transform(list_filter(range(1, len(ns) + 1), lambda i: served[i] < ns[i] and (served[i] * f) // ns[i] <= slot),
+            lambda i: [((served[i] + 1) * f + ns[i] - 1) // ns[i], i]))[2] as chosen from frame_slots where slot < f)
+),
+placed as (
+    select sources[pick] as source, slot - 1 as slot, served[pick] - 1 as i, ns[pick] as n, f from frame_slots where pick is not null
+),
+blocks as (
+    select doc_id, source, cast(coalesce(sum(size) over (partition by source order by h, doc_id
+        rows between unbounded preceding and 1 preceding), 0) as bigint) // {block_bytes} as block
+    from rows
+)
+select doc_id, b.source, block, (block // n) * f + (i * f) // n as release, (block // n) * f + ((i + 1) * f + n - 1) // n as deadline,
+    (block // n) * f + slot as slot
+from blocks b join placed p on b.source = p.source and block % n = i"""

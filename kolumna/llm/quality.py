@@ -135,3 +135,46 @@ def judged(docs: DataFrame, rules=RULES, text_column: str = "text") -> DataFrame
     """
     df = measures(docs, text_column).drop("base_failed", "kept")
     return df.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & passes(rules))
+
+
+def verdict_sql() -> str:
+    """The query's columns for ``documents`` in SQL."""
+    stop = ", ".join(f"'{word}'" for word in sorted({word for line in STOP_WORDS for word in line.split()}))
+    plain = "lower(regexp_replace(x, '^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$', '', 'g'))"
+    tests = " and ".join(
+        f"coalesce({measure} {sign} {bound}, true)" for measure, least, most in RULES for sign, bound in ((">=", least), ("<=", most)) if bound is not None
+    )
+    return f"""
+with texts as (
+    select doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') as words,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
+    from (select doc_id, coalesce(text, '') as t from documents)
+),
+windows as (
+    select doc_id, i, array_to_string(words[i:i + {WINDOW - 1}], ' ') as w
+    from (select doc_id, words, unnest(range(1, len(words) - {WINDOW - 2})) as i from texts where len(words) >= {WINDOW})
+),
+repeated as (select doc_id, i from windows qualify count(*) over (partition by doc_id, w) > 1),
+covered as (select doc_id, count(distinct j) as n from (select doc_id, unnest(range(i, i + {WINDOW})) as j from repeated) group by doc_id),
+counted as (
+    select doc_id, words, lines, len(words) as n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) as word_chars,
+        length(t) - length(translate(t, '{SYMBOLS}', '')) as n_symbols, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+        coalesce(n, 0) as n_repeat_words
+    from texts left join covered using (doc_id)
+),
+measured as (
+    select *, word_chars / nullif(n_words, 0) as mean_word_chars, n_symbols / nullif(n_words, 0) as symbols_per_word,
+        len(list_filter(words, lambda x: regexp_matches(x, '\\p{{L}}'))) / nullif(n_words, 0) as letter_words_ratio,
+        len(list_filter(words, lambda x: {plain} in ({stop}))) / nullif(n_words, 0) as stop_word_ratio,
+        len(list_filter(words, lambda x: regexp_matches(x, '\\p{{Lu}}') and not regexp_matches(x, '\\p{{Ll}}') and length(x) > 1))
+            / nullif(n_words, 0) as capital_words_ratio,
+        n_dup_lines / nullif(len(lines), 0) as dup_lines_ratio,
+        len(list_filter(lines, lambda x: regexp_matches(x, '^\\s*[-*•‣●]'))) / nullif(len(lines), 0) as bullet_lines_ratio,
+        len(list_filter(lines, lambda x: regexp_matches(x, '(\\.\\.\\.|…)\\s*$'))) / nullif(len(lines), 0) as ellipsis_lines_ratio,
+        n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words as base_failed
+    from counted
+)
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,
+    cast(n_dup_lines as bigint) as n_dup_lines, cast(n_repeat_words as bigint) as n_repeat_words, base_failed,
+    not base_failed and {tests} as kept
+from measured"""

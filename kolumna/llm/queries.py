@@ -88,4 +88,10 @@ QUERIES = {
     "op10_main_texts": main_texts,
 }
 
-SQL = {"op2_byte_shards": shards.shard_sql(SHARD_BYTES)}
+SQL = {
+    "op1_long_repeats": repeats.repeats_sql(),
+    "op2_byte_shards": shards.shard_sql(SHARD_BYTES),
+    "op3_secret_spans": credentials.spans_sql(),
+    "op5_quality_verdicts": quality.verdict_sql(),
+    "op7_mixture": mixing.mixture_sql(),
+}

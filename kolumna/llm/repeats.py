@@ -351,3 +351,27 @@ def _removed(batch: pa.RecordBatch) -> dict:
         for name, x in zip(out, (one if has_id else None, len(text), removed, runs, hashlib.sha256(rest).hexdigest(), rest)):
             out[name].append(x)
     return out
+
+
+def repeats_sql(span: int = SPAN) -> str:
+    """The query's columns for ``documents`` in SQL, over all windows of hexadecimal text."""
+    return f"""
+with texts as (select doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+windows as (
+    select doc_id, unnest(range(0, length(x) // 2 - {span - 1})) as i,
+        unnest(list_transform(range(0, length(x) // 2 - {span - 1}), lambda k: md5_number(substr(x, 2 * k + 1, {2 * span})))) as w
+    from texts where length(x) >= {2 * span}
+),
+again as (select doc_id, i from windows qualify count(*) over (partition by w) > 1),
+fresh as (select doc_id, i, case when i - lag(i) over (partition by doc_id order by i) <= {span} then 0 else 1 end as first from again),
+numbered as (select doc_id, i, sum(first) over (partition by doc_id order by i) as run from fresh),
+runs as (select doc_id, run, min(i) as b, max(i) + {span} as e from numbered group by doc_id, run),
+gaps as (
+    select doc_id, coalesce(lag(e) over (partition by doc_id order by b), 0) as s, b as e from runs
+    union all select doc_id, max(e), max(e) + (1 << 30) from runs group by doc_id
+),
+kept as (select doc_id, string_agg(substr(x, 2 * s + 1, 2 * (e - s)), '' order by s) as rest from gaps join texts using (doc_id) group by doc_id),
+sums as (select doc_id, sum(e - b) as removed, count(*) as runs from runs group by doc_id)
+select doc_id, length(x) // 2 as n_bytes, cast(coalesce(removed, 0) as bigint) as n_removed, coalesce(runs, 0) as n_spans,
+    sha256(unhex(coalesce(rest, x))) as kept_sha256
+from texts left join kept using (doc_id) left join sums using (doc_id)"""

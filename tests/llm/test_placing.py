@@ -88,7 +88,7 @@ def plain_mixture(rows, weights, block_bytes, frame):
         groups[r.source].append(r)
     for source, members in groups.items():
         total = 0
-        for r in sorted(members, key=lambda r: (r.bucket, r.order, r.doc_id)):
+        for r in sorted(members, key=lambda r: (r.order, r.doc_id)):
             block, n = total // block_bytes, slots[source]
             out[r.doc_id] = (block, block // n * sum(slots.values()) + place[source, block % n])
             total += r.size
@@ -99,9 +99,7 @@ def test_mixture(spark, monkeypatch):
     monkeypatch.setattr(mixing, "GROUP_ROWS", 3)
     weights = {f"src{i}": 1.0 + i % 4 for i in range(20)}
     placed = mixing.mixed(read(spark), weights, 4096, 60).collect()
-    order = "xxhash64(doc_id, text)"
-    n = read(spark).groupBy("source").count().agg({"count": "max"}).first()[0]
-    rows = read(spark).selectExpr("doc_id", "source", "octet_length(text) as size", f"{order} as order", f"pmod(xxhash64({order}), {-(-n // 3)}) as bucket").collect()
+    rows = read(spark).withColumns({"order": shards.row_hash("doc_id", "text"), "size": shards.n_bytes("text")}).collect()
     assert {r.doc_id: (r.block, r.slot) for r in placed} == plain_mixture(rows, weights, 4096, 60)
     assert all(r.release <= r.slot < r.deadline for r in placed)
     assert len({(r.source, r.block) for r in placed}) == len({r.slot for r in placed})
