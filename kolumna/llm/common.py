@@ -127,16 +127,20 @@ def connected(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
 
     Alternates two steps until the stars stand still: hang every larger neighbour on the smallest
     one, then hang all smaller ones on it. Rounds grow with the logarithm of the longest chain. Per
-    node only a minimum is aggregated; no class is ever gathered. Every round is written.
+    node only a minimum is aggregated; no class is ever gathered. Every step is written: a lost executor
+    costs one step, and the minima are shuffled anew for their join, so that Spark can split the node in
+    the middle of a large star.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges, state = saved(edges, name), None
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
+        least = saved(least, name)
         large = both.where("v > u").join(least, F.col("u") == F.col("n")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "n")
+        large = saved(large, name)
+        least = saved(large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "n"), name)
         small = large.join(least, F.col("u") == F.col("n")).select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")
         )

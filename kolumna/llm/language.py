@@ -39,9 +39,10 @@ def fit(labelled: DataFrame, lang_column: str = "lang", text_column: str = "text
     keys = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
     # Hashes are even, so the smallest ones lie below a bound that follows from their number: a
     # common language does not send its candidates from every task.
-    counts = keys.groupBy("lang").count()
-    bound = F.lit(-(2.0**63)) + F.lit(2.0**64) * F.least(F.lit(1.0), F.lit(8.0 * FIT_TEXTS) / F.col("count"))
-    keys = keys.join(counts, "lang").where(F.col("h").cast("double") <= bound).select("lang", "h")
+    counts = keys.groupBy("lang").count().collect()  # one row for each language
+    bounds = [F.lit(x) for r in counts for x in (r.lang, -(2.0**63) + 2.0**64 * min(1.0, 8.0 * FIT_TEXTS / r["count"]))]
+    if bounds:
+        keys = keys.where(F.col("h").cast("double") <= F.create_map(*bounds)[F.col("lang")])
     by_hash = Window.partitionBy("lang").orderBy("h")
     keys = keys.withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= FIT_TEXTS).select("lang", "h")
     wanted = [(r.lang, r.h) for r in keys.collect()]  # FIT_TEXTS hashes for each language

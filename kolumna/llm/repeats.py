@@ -31,7 +31,7 @@ SPAN, ANCHOR = 200, 32
 PART = 1 << 19
 #: An anchor with more different pieces than this is cut into cells of so many windows, keyed by what
 #: all windows of a cell have in common.
-PIECE_LIMIT = 2048
+PIECE_LIMIT = 1024
 CELL = 32
 
 def pieces(data: np.ndarray, owner: np.ndarray, factors, span: int, anchor: int) -> tuple[np.ndarray, ...]:
@@ -315,7 +315,7 @@ def without_repeats(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, pie
     kinds = saved(
         meeting.groupBy("anchor", "content").agg(F.count("*").alias("copies"), F.min(F.struct("id", "tag", "start", "shape")).alias("first")), "kinds"
     )
-    variety = kinds.groupBy("anchor").count().where("count > 1")
+    variety = saved(kinds.groupBy("anchor").count().where("count > 1"), "variety")
     requests = kinds.join(variety, "anchor").select("anchor", "content", "first.*", (F.col("count") > piece_limit).alias("crowded"))
     whole = kinds.where("copies > 1").selectExpr("anchor", "content", "0 as begin", "cast(first.shape div 1024 as int) as end")
     found = whole.unionByName(sorted_repeats(cut_texts(requests, packed, False, span), span))

@@ -179,9 +179,10 @@ def components(docs: DataFrame, width: int = 3, bits: int = 3, id_column: str =
     classes = saved(classes, "classes")
     stars = connected(links(classes.select("fp"), bits, run_limit), "stars")
     stars = stars.select(F.col("node").alias("fp"), "label")
-    labelled = classes.join(stars, "fp", "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
+    # Written like the minima above, so that joins on the label of a large class can be split.
+    labelled = saved(classes.join(stars, "fp", "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label")), "labelled")
     least = labelled.groupBy("label").agg(F.min("first_id").alias("component_id")).withColumnRenamed("label", "l")
-    named = labelled.join(least, F.col("label") == F.col("l")).select(F.col("fp").alias("f"), "component_id")
+    named = labelled.join(saved(least, "least"), F.col("label") == F.col("l")).select(F.col("fp").alias("f"), "component_id")
     return fps.join(named, F.col("fp") == F.col("f")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
@@ -250,7 +251,7 @@ def near_copy_classes(docs: DataFrame, bands: int = BANDS, bits: int = BAND_BITS
     signs = saved(rows.groupBy("sign", *names, "sketch").count(), "signs")
     edges = []
     for name in names:
-        heads = signs.groupBy(F.col(name).alias("fp")).agg(F.min("sign").alias("head"))
+        heads = saved(signs.groupBy(F.col(name).alias("fp")).agg(F.min("sign").alias("head")), "heads")
         near = saved(links(heads.select("fp"), bits, run_limit, NEIGHBOURS), "links")
         edges.append(signs.join(heads, F.col(name) == F.col("fp")).select(F.col("sign").alias("a"), F.col("head").alias("b")))
         ends = near.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("ha")), "a").join(heads.select(F.col("fp").alias("b"), F.col("head").alias("hb")), "b")
