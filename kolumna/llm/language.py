@@ -69,9 +69,9 @@ def compressors(dictionaries: dict[str, bytes]) -> list[tuple[str, zstandard.Zst
 
 def classify(text: str | None, coders: list[tuple[str, zstandard.ZstdCompressor]]) -> tuple[str, float]:
     """The language with the fewest bytes and the share it saves against the next; ties go to the first name."""
-    content = letters(text or "")
-    if not content or not coders:
+    if not coders or not any(map(str.isalpha, text or "")):
         return UNKNOWN, 0.0
+    content = letters(text)
     pieces = [content[i : i + PIECE_BYTES] for i in range(0, len(content), PIECE_BYTES)]
     sizes = [(sum(len(coder.compress(p)) for p in pieces), lang) for lang, coder in coders]
     sizes.sort()

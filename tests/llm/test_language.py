@@ -42,7 +42,8 @@ def test_edges(spark):
     dictionaries = language.fit(read(spark))
     found = language.predict(edge_rows(spark), dictionaries).collect()
     assert Counter((r.doc_id, r.text) for r in found) == Counter(TEXTS)
-    assert all((r.lang_pred == "und") == (not language.letters(r.text or "")) for r in found)
+    assert all((r.lang_pred == "und") == (not any(c.isalpha() for c in r.text or "")) for r in found)
+    assert {language.classify(t, language.compressors(dictionaries))[0] for t in ("²½", "123 _ !", "", None)} == {"und"}
     assert all(r.rejected and r.score == 0 for r in found if r.lang_pred == "und")
     assert language.predict(edge_rows(spark).limit(0), dictionaries).collect() == []
     assert language.fit(edge_rows(spark).limit(0)) == {}
