@@ -13,6 +13,8 @@ from pyspark.sql.types import StructType
 #: The fit reads at most this many texts of a language, at most this many characters of each, and
 #: stops at this many bytes of dictionary. Prediction reads whole texts.
 FIT_TEXTS, FIT_CHARS, DICTIONARY_BYTES = 64, 4096, 16384
+#: One dictionary each is sent to every task; more languages are an error.
+MAX_LANGUAGES = 1000
 #: A text is encoded in pieces of this size, so that a long one cannot become its own dictionary.
 PIECE_BYTES = 1024
 #: A score (share of bytes saved against the next best language) below it is rejected.
@@ -39,7 +41,9 @@ def fit(labelled: DataFrame, lang_column: str = "lang", text_column: str = "text
     keys = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
     # Hashes are even, so the smallest ones lie below a bound that follows from their number: a
     # common language does not send its candidates from every task.
-    counts = keys.groupBy("lang").count().collect()  # one row for each language
+    counts = keys.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     bounds = [F.lit(x) for r in counts for x in (r.lang, -(2.0**63) + 2.0**64 * min(1.0, 8.0 * FIT_TEXTS / r["count"]))]
     if bounds:
         keys = keys.where(F.col("h").cast("double") <= F.create_map(*bounds)[F.col("lang")])

@@ -21,6 +21,8 @@ from kolumna.llm.shards import HASH_BITS, n_bytes, row_hash
 FRAME = 1000
 #: Bytes of text in a block.
 BLOCK_BYTES = 1 << 16
+#: Sources are names of collections; their schedule is made on the driver and sent to every task.
+MAX_SOURCES = 100_000
 #: Rows that are ordered in one group.
 GROUP_ROWS = 500
 #: Exponent that flattens the sizes of sources to weights where none are given.
@@ -64,11 +66,14 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block
     slots to the others, whose shares keep their proportions. A null source is one of its own; sources
     without a given weight have the lightest given one; a null text has no bytes. Repeated rows each
     have their place, an empty table stays empty, columns with a result's name are replaced.
+    More than MAX_SOURCES sources are an error.
     """
     docs = docs.drop("block", "release", "deadline", "slot").withColumns(
         {"__bytes": n_bytes(text_column), "__order": row_hash(id_column, text_column)}
     )
-    sizes = docs.groupBy(source_column).agg(F.sum("__bytes").alias("bytes"), F.count("*").alias("n")).collect()  # one row for each source
+    sizes = docs.groupBy(source_column).agg(F.sum("__bytes").alias("bytes"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
+    if len(sizes) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources: name coarser ones")
     if weights is None:
         shares = {r[0]: float(max(1, r.bytes)) ** FLATTEN for r in sizes}
     else:
