@@ -268,7 +268,7 @@ def counted_repeats(cut: DataFrame, span: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, fields.types)], schema=fields)
 
     windows = cut.mapInArrow(run, schema)
-    again = windows.groupBy("window").count().where("count > 1").select("window")
+    again = saved(windows.groupBy("window").count().where("count > 1").select("window"), "windows")
     return windows.join(again, "window").selectExpr("anchor", "content", "at as begin", "cast(at + 1 as int) as end")
 
 
@@ -320,8 +320,9 @@ def without_repeats(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, pie
     whole = kinds.where("copies > 1").selectExpr("anchor", "content", "0 as begin", "cast(first.shape div 1024 as int) as end")
     found = whole.unionByName(sorted_repeats(cut_texts(requests, packed, False, span), span))
     if not variety.where(F.col("count") > piece_limit).isEmpty():
-        cells = cut_texts(requests, packed, True, span)
-        cells = cells.join(cells.groupBy("key").count().where("count > 1").withColumnRenamed("count", "n"), "key")
+        # Cells and their counts are written, so that Spark can split the join on a key that very many share.
+        cells = saved(cut_texts(requests, packed, True, span), "cells")
+        cells = cells.join(saved(cells.groupBy("key").count().where("count > 1").withColumnRenamed("count", "n"), "cell_counts"), "key")
         few = cells.where(F.col("n") <= piece_limit).drop("n")
         many = cells.where(F.col("n") > piece_limit).drop("n")
         found = found.unionByName(sorted_repeats(few, span)).unionByName(counted_repeats(many, span))
