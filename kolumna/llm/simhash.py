@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kolumna.llm.common import as_bytes, connected, map_batches, saved
+from kolumna.llm.common import arrow_schema, as_bytes, connected, map_batches, mixed_bits, saved
 
 SEED = 42
 #: Fingerprints under one key that a task compares directly; beyond it the key is cut further.
@@ -104,25 +104,11 @@ def links_within(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]
     return np.array(left, dtype=np.uint64), np.array(right, dtype=np.uint64)
 
 
-def nearest_within(values: np.ndarray, bits: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of each of ``values`` with up to ``most`` nearest others."""
-    left, right = [], []
-    for at in range(0, len(values), 256):
-        distance = np.bitwise_count(values[at : at + 256, None] ^ values[None, :]).astype(np.int16)
-        distance[np.arange(len(distance)), np.arange(at, at + len(distance))] = 999
-        near = np.argsort(distance, axis=1, kind="stable")[:, :most]
-        rows, columns = np.nonzero(np.take_along_axis(distance, near, axis=1) <= bits)
-        left.append(values[rows + at])
-        right.append(values[near[rows, columns]])
-    return np.concatenate(left), np.concatenate(right)
-
-
-def links(fps: DataFrame, bits: int = 3, run_limit: int = RUN_LIMIT, neighbours: int = 0) -> DataFrame:
+def links(fps: DataFrame, bits: int = 3, run_limit: int = RUN_LIMIT) -> DataFrame:
     """(a, b): enough verified links to hold every class together, for distinct fingerprints ``fp``.
 
     Up to 3 bits all fingerprints within that distance are linked. With more, those of them are that
-    share a variant, as they do with fewer errors in one half. ``neighbours`` adds the links to so many
-    nearest ones under each variant, for a later check that may refuse some.
+    share a variant, as they do with fewer errors in one half.
     """
     keys = variant_keys(fps, run_limit)
     keys = keys.repartition("key", "key2").sortWithinPartitions("key", "key2")
@@ -139,14 +125,14 @@ def links(fps: DataFrame, bits: int = 3, run_limit: int = RUN_LIMIT, neighbours:
         yield from linked(held)
 
     def linked(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        a, b = links_of_runs(rows[:, 0].copy().view(np.uint64), rows[:, 1:], bits, neighbours)
+        a, b = links_of_runs(rows[:, 0].copy().view(np.uint64), rows[:, 1:], bits)
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], schema=schema)
 
     return keys.mapInArrow(scan, "a long, b long").distinct()
 
 
-def links_of_runs(fps: np.ndarray, keys: np.ndarray, bits: int, neighbours: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def links_of_runs(fps: np.ndarray, keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links within every run of equal ``keys``."""
     new = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
     bounds = np.concatenate([[0], new, [len(fps)]]).astype(np.int64)
@@ -158,10 +144,6 @@ def links_of_runs(fps: np.ndarray, keys: np.ndarray, bits: int, neighbours: int
         left, right = links_within(fps[bounds[i] : bounds[i + 1]], bits)
         a.append(left)
         b.append(right)
-        if neighbours:
-            left, right = nearest_within(fps[bounds[i] : bounds[i + 1]], bits, neighbours)
-            a.append(left)
-            b.append(right)
     return np.concatenate(a), np.concatenate(b)
 
 
@@ -188,38 +170,27 @@ def components(docs: DataFrame, width: int = 3, bits: int = 3, id_column: str =
     )
 
 
-#: Near copies in the sense of the corpus have a Jaccard similarity of 0.8 or more of their five-word
-#: shingles. One or two words in a hundred differ then, and with them about 0.07 of the bits of a
-#: fingerprint of the distinct words: one of BANDS such fingerprints finds the neighbour by a
-#: one-wildcard half and has at most BAND_BITS differing bits. A sketch of the shingles decides; its
-#: estimate is off by about 0.035 (one standard deviation), so it asks for a little less than 0.8.
-BANDS, BAND_BITS, NEIGHBOURS = 3, 8, 3
-SHINGLE, SKETCH, MIN_SIMILARITY = 5, 128, 0.76
+#: Near copies in the sense of the corpus have a Jaccard similarity of MIN_SIMILARITY or more of their
+#: SHINGLE-word shingles. The least hashes in SKETCH bins are keys, BAND bins together: of two texts with a
+#: similarity of 0.8 one of the 32 bands is equal in all but (1 - 0.8 ** 4) ** 32 = 5e-8 of the cases. Texts
+#: that share a band meet if their sketches estimate LOOSE, four standard deviations less than what is asked,
+#: and their shingles decide.
+SHINGLE, SKETCH, BAND, MIN_SIMILARITY, LOOSE = 5, 128, 4, 0.8, 0.66
 
 
-def word_bands(words: list[bytes], bands: int) -> list[int]:
-    """Fingerprints of the distinct words; all zero without words."""
+def shingle_hashes(words: list[bytes]) -> np.ndarray:
+    """Hashes of the different shingles, sorted; a text of fewer words is one shingle."""
     if not words:
-        return [0] * bands
-    count = np.zeros(64 * bands, dtype=np.int64)
-    digest, seeds, listed = xxhash.xxh3_64_digest, range(SEED, SEED + bands), list(set(words))
-    for at in range(0, len(listed), 4096):
-        part = b"".join(digest(w, seed) for w in listed[at : at + 4096] for seed in seeds)
-        count += np.unpackbits(np.frombuffer(part, dtype=np.uint8).reshape(-1, 8 * bands), axis=1).sum(axis=0, dtype=np.int64)
-    packed = np.packbits(2 * count > len(listed)).tobytes()
-    return [int.from_bytes(packed[8 * b : 8 * b + 8], "big", signed=True) for b in range(bands)]
-
-
-def shingle_sketch(words: list[bytes]) -> bytes:
-    """Of the shingle hashes in each of SKETCH bins the least, 16 bits of it; an empty bin is zero."""
-    if not words:
-        return bytes(2 * SKETCH)
+        return np.empty(0, dtype=np.uint64)
     line = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = (ends - [len(w) for w in words]).tolist()
     digest = xxhash.xxh3_64_intdigest
-    hashes = np.array([digest(line[s:e]) for s, e in zip(starts, ends[min(SHINGLE, len(words)) - 1 :].tolist())], dtype=np.uint64)
-    hashes.sort()
+    return np.unique(np.array([digest(line[s:e]) for s, e in zip(starts, ends[min(SHINGLE, len(words)) - 1 :].tolist())], dtype=np.uint64))
+
+
+def sketch_of(hashes: np.ndarray) -> bytes:
+    """Of sorted hashes in each of SKETCH bins the least, 16 bits of it; an empty bin is zero."""
     bins = (hashes % np.uint64(SKETCH)).astype(np.int64)
     some, first = np.unique(bins, return_index=True)
     sketch = np.zeros(SKETCH, dtype=np.uint16)
@@ -227,57 +198,155 @@ def shingle_sketch(words: list[bytes]) -> bytes:
     return sketch.tobytes()
 
 
-def similar(a: list[bytes], b: list[bytes]) -> np.ndarray:
-    """Whether pairs of sketches estimate at least MIN_SIMILARITY."""
-    a, b = (np.frombuffer(b"".join(x), dtype=np.uint16).reshape(-1, SKETCH) for x in (a, b))
-    used = ((a | b) > 0).sum(axis=1)
-    return ((a == b) & (a > 0)).sum(axis=1) >= MIN_SIMILARITY * used
+def shingle_sketch(words: list[bytes]) -> bytes:
+    return sketch_of(shingle_hashes(words))
+
+
+def band_keys(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of the bands of ``sketches`` that are not empty."""
+    bands = np.ascontiguousarray(sketches).view(np.uint64)
+    rows, columns = np.nonzero(bands)
+    return rows, mixed_bits(bands[rows, columns] + columns.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def near_copy_classes(docs: DataFrame, bands: int = BANDS, bits: int = BAND_BITS, id_column: str = "doc_id", text_column: str = "text", run_limit: int = RUN_LIMIT) -> DataFrame:
-    """(doc_id, row, class) of every row: ``row`` is the hash of its id and text, ``class`` names its group of near copies."""
-    names = [f"b{i}" for i in range(bands)]
-    layout = ", ".join(f"{n} long" for n in names)
+def _spread(n: int, near) -> tuple[list[int], list[int]]:
+    """Links that hold together what accepted links join: ``near(one, rest)`` tells which of ``rest`` are accepted."""
+    left, right, rest = [], [], np.arange(n)
+    while len(rest) > 1:
+        queue, rest = [int(rest[0])], rest[1:]
+        while queue and len(rest):
+            one = queue.pop()
+            accepted = near(one, rest)
+            found = rest[accepted].tolist()
+            left += [one] * len(found)
+            right += found
+            queue += found
+            rest = rest[~accepted]
+    return left, right
+
+
+def loosely_alike(values: list[bytes]) -> tuple[list[int], list[int]]:
+    """Links of sketches that estimate LOOSE or more."""
+    sketches = np.frombuffer(b"".join(values), dtype=np.uint16).reshape(-1, SKETCH)
+
+    def near(one: int, rest: np.ndarray) -> np.ndarray:
+        others = sketches[rest]
+        used = ((others | sketches[one]) > 0).sum(axis=1)
+        return ((others == sketches[one]) & (others > 0)).sum(axis=1) >= LOOSE * used
+
+    return _spread(len(values), near)
+
+
+def alike(values: list[bytes]) -> tuple[list[int], list[int]]:
+    """Links of sets of shingles with a Jaccard similarity of MIN_SIMILARITY or more."""
+    sets = [np.frombuffer(v, dtype=np.uint32) for v in values]
+    sizes = np.array([len(x) for x in sets])
+    starts = np.cumsum(sizes) - sizes
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    flags = np.zeros(len(codes) + 1, dtype=np.int32)
+
+    def near(one: int, rest: np.ndarray) -> np.ndarray:
+        own = codes[starts[one] : starts[one] + sizes[one]]
+        flags[own] = 1
+        first = int(starts[rest[0]])
+        both = np.add.reduceat(flags[codes[first:]], starts[rest[0] :] - first)[rest - rest[0]]
+        flags[own] = 0
+        return both >= MIN_SIMILARITY * (sizes[one] + sizes[rest] - both)
+
+    return _spread(len(values), near)
+
+
+def links_in_runs(members: DataFrame, function) -> DataFrame:
+    """(a, b) of ``members`` (sign, key, value): the links of ``function`` in every run of equal keys."""
+    fields = arrow_schema(members.sparkSession, "a long, b long")
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signs, values, key = [], [], None
+        for batch in batches:
+            left, right = [], []
+            for sign, at, value in zip(*(column.to_pylist() for column in batch.columns)):
+                if at != key:
+                    _linked(signs, values, left, right)
+                    signs, values, key = [], [], at
+                signs.append(sign)
+                values.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], schema=fields)
+        left, right = [], []
+        _linked(signs, values, left, right)
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], schema=fields)
+
+    def _linked(signs: list[int], values: list[bytes], left: list[int], right: list[int]) -> None:
+        if len(signs) > 1:
+            a, b = function(values)
+            left += [signs[i] for i in a]
+            right += [signs[i] for i in b]
+
+    ordered = members.select("sign", "key", "value").repartition("key").sortWithinPartitions("key")
+    return ordered.mapInArrow(scan, "a long, b long").distinct()
+
+
+def band_members(signs: DataFrame, run_limit: int) -> DataFrame:
+    """(sign, key) of texts that share a band with others, of ``signs`` (sign, sketch). A band that more
+    than ``run_limit`` share is cut by each other band: texts as similar as asked share more than one."""
+
+    def keys(batch: pa.RecordBatch) -> dict:
+        sketches = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint16).reshape(-1, SKETCH)
+        rows, found = band_keys(sketches)
+        return {"sign": batch.column(0).take(pa.array(rows)), "key": found.view(np.int64)}
+
+    keyed = saved(map_batches(signs.select("sign", "sketch"), keys, "sign long, key long"), "band_keys")
+    counts = saved(keyed.groupBy("key").count().where("count > 1").withColumnRenamed("key", "k"), "band_counts")
+    shared = saved(keyed.join(counts, F.col("key") == F.col("k")).select("sign", "key", (F.col("count") > run_limit).alias("crowded")), "shared")
+    few = shared.where("not crowded").select("sign", "key")
+    many = shared.where("crowded").select("sign", "key")
+    if many.isEmpty():
+        return few
+    # The other bands include those that are not crowded, where few of the crowd meet.
+    other = shared.select(F.col("sign").alias("s"), F.col("key").alias("other"))
+    pairs = many.join(other, F.col("sign") == F.col("s")).where("key <> other")
+    cut = pairs.select("sign", F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key")).distinct()
+    return saved(few.unionByName(cut), "members")
+
+
+def near_copy_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", run_limit: int = RUN_LIMIT) -> DataFrame:
+    """(doc_id, row, class) of every row: ``row`` is the hash of its id and text, ``class`` names its group of near copies.
+
+    Texts that share a band and a loose estimate form groups first. Within a group, and in one of more than
+    ``run_limit`` texts within its bands, the shingles decide; only accepted links hold a class together.
+    """
 
     def of(batch: pa.RecordBatch) -> dict:
-        found = [(*word_bands(w, bands), shingle_sketch(w)) for w in (t.lower().split() for t in as_bytes(batch.column(2)))]
-        signs = {n: [f[i] for f in found] for i, n in enumerate([*names, "sketch"])}
-        return {"doc_id": batch.column(0), "row": batch.column(1)} | signs
+        found = [shingle_hashes(t.lower().split()) for t in as_bytes(batch.column(2))]
+        sets = [np.unique((h >> np.uint64(32)).astype(np.uint32)).tobytes() for h in found]
+        signs = np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in found], dtype=np.uint64).view(np.int64)
+        return {"doc_id": batch.column(0), "row": batch.column(1), "sign": signs, "sketch": [sketch_of(h) for h in found], "shingles": sets}
 
     text = F.col(text_column).cast("string")
     picked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(F.col(id_column).cast("long"), text).alias("row"), text.alias("text"))
-    rows = map_batches(picked, of, f"doc_id long, row long, {layout}, sketch binary")
-    rows = saved(rows.withColumn("sign", F.xxhash64(*names, "sketch")), "bands")
-    signs = saved(rows.groupBy("sign", *names, "sketch").count(), "signs")
-    edges = []
-    for name in names:
-        heads = saved(signs.groupBy(F.col(name).alias("fp")).agg(F.min("sign").alias("head")), "heads")
-        near = saved(links(heads.select("fp"), bits, run_limit, NEIGHBOURS), "links")
-        edges.append(signs.join(heads, F.col(name) == F.col("fp")).select(F.col("sign").alias("a"), F.col("head").alias("b")))
-        ends = near.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("ha")), "a").join(heads.select(F.col("fp").alias("b"), F.col("head").alias("hb")), "b")
-        edges.append(ends.select(F.col("ha").alias("a"), F.col("hb").alias("b")))
-    every = edges[0]
-    for more in edges[1:]:
-        every = every.unionByName(more)
-    every = every.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    sketches = signs.select(F.col("sign"), "sketch")
-    pairs = every.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
-
-    def checked(batch: pa.RecordBatch) -> dict:
-        kept = pa.array(similar(batch.column(2).to_pylist(), batch.column(3).to_pylist()))
-        return {"a": batch.column(0).filter(kept), "b": batch.column(1).filter(kept)}
-
-    stars = connected(map_batches(pairs.select("a", "b", "sa", "sb"), checked, "a long, b long"), "stars").withColumnRenamed("node", "n")
+    rows = saved(map_batches(picked, of, "doc_id long, row long, sign long, sketch binary, shingles binary"), "shingles")
+    signs = saved(rows.groupBy("sign", "sketch").count().drop("count"), "signs")
+    members = band_members(signs, run_limit)
+    loose = links_in_runs(members.join(signs, "sign").withColumnRenamed("sketch", "value"), loosely_alike)
+    groups = saved(connected(loose, "groups").distinct(), "grouped")
+    sizes = saved(groups.groupBy("label").count().withColumnRenamed("label", "l"), "group_sizes")
+    groups = groups.join(sizes, F.col("label") == F.col("l"))
+    small = groups.where(F.col("count") <= run_limit).select(F.col("node").alias("sign"), F.col("label").alias("key"))
+    large = groups.where(F.col("count") > run_limit).select(F.col("node").alias("n"))
+    small = small.unionByName(members.join(large, F.col("sign") == F.col("n"), "left_semi"))
+    grouped = groups.select(F.col("node").alias("n"))
+    sets = rows.join(grouped, F.col("sign") == F.col("n"), "left_semi").select("sign", "shingles").dropDuplicates(["sign"])
+    exact = links_in_runs(small.join(sets, "sign").withColumnRenamed("shingles", "value"), alike)
+    stars = connected(exact, "stars").withColumnRenamed("node", "n")
     return rows.join(stars, F.col("sign") == F.col("n"), "left").select("doc_id", "row", F.coalesce("label", "sign").alias("class"))
 
 
-def one_of_each(docs: DataFrame, bands: int = BANDS, bits: int = BAND_BITS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near copies, that of the smallest doc_id.
 
     Null and blank texts are copies of each other. A null id comes after all others; of rows with the
     same id and text one stays, whatever their other columns. An empty table stays empty.
     """
-    classes = near_copy_classes(docs, bands, bits, id_column, text_column)
+    classes = near_copy_classes(docs, id_column, text_column)
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     kept = classes.groupBy("class").agg(F.min(first).alias("first")).select(F.col("first.row").alias("__kept"))
     keyed = docs.withColumn("__row", F.xxhash64(F.col(id_column).cast("long"), F.col(text_column).cast("string")))

@@ -128,3 +128,50 @@ def test_sketch_estimates():
         a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (base, other))
         x, y = (np.frombuffer(simhash.shingle_sketch(w), dtype=np.uint16) for w in (base, other))
         assert abs((x == y).mean() - len(a & b) / len(a | b)) < 0.15
+
+
+def plain_similar_classes(texts):
+    """Classes of all pairs with a Jaccard similarity of 0.8 or more of their five-word shingles."""
+    sets = []
+    for text in texts:
+        w = text.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    label = list(range(len(sets)))
+    for i, s in enumerate(sets):
+        for j in range(i):
+            if label[i] != label[j] and len(s & sets[j]) >= 0.8 * len(s | sets[j]):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    return label
+
+
+def form_letters():
+    """Letters of the same words: in the order of their own, or of one template with slots; some have real copies."""
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghijk") for _ in range(rng.randint(3, 9))) for _ in range(200)]
+    texts = []
+    for family in range(2):
+        body = words[100 * family : 100 * family + 100]
+        for _ in range(60):
+            texts.append(" ".join(rng.sample(body, 100)))
+        slots = range(0, 100, 14)
+        for _ in range(80):
+            texts.append(" ".join(f"{w} {rng.randrange(10**9)}" if i in slots else w for i, w in enumerate(body)))
+    for text in rng.sample(texts, 70):
+        for _ in range(2):
+            copy = text.split()
+            copy[rng.randrange(len(copy))] = "changed"
+            texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    return texts
+
+
+def test_form_letters(spark):
+    """Form letters against brute force, also where bands and groups are crowded."""
+    texts = form_letters()
+    roots = plain_similar_classes(texts)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for limit in (simhash.RUN_LIMIT, 20):
+        found = {r.doc_id: r["class"] for r in simhash.near_copy_classes(rows, run_limit=limit).collect()}
+        pairs = {(found[i], root) for i, root in enumerate(roots)}
+        assert len(pairs) == len({f for f, _ in pairs}) == len({r for _, r in pairs}) > 200
