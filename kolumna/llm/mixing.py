@@ -2,14 +2,20 @@
 
 A source of weight w owns blocks; its i-th block is released at floor((i - 1) / w) and due at
 ceil(i / w). Serving the earliest deadline first on one line of slots meets all deadlines, so that at
-every slot each source is within one block of its share. Weights are whole slots of a frame, after
-which all shares are exact: one frame is scheduled and every later one repeats it.
+every slot each source is within one block of its share until it has run out. All blocks are scheduled,
+in exact integers.
+
+With a ``frame`` weights are whole slots of it, at least one for each source: shares of light sources are
+too large then, those of the others too small. One frame is scheduled and every later one repeats it.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from array import array
+from collections.abc import Iterator
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +25,8 @@ from kolumna.llm.shards import HASH_BITS, n_bytes, row_hash
 
 #: Slots of a frame: weights are multiples of one slot. With more sources than half of it, it grows to two for each.
 FRAME = 1000
+#: Blocks of one row of the exact schedule, and of a schedule that is sent to every task.
+PIECE, SENT_BLOCKS = 1024, 1 << 20
 #: Bytes of text in a block.
 BLOCK_BYTES = 1 << 16
 #: Sources are names of collections; their schedule is made on the driver and sent to every task.
@@ -58,7 +66,47 @@ def schedule(slots: dict[str | None, int]) -> list[tuple[str | None, int, int, i
     return placed
 
 
-def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block_bytes: int = BLOCK_BYTES, frame: int = FRAME, source_column: str = "source", id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def exact_schedule(weights: dict[str | None, float], blocks: dict[str | None, int]) -> dict[str | None, tuple[array, array, array]]:
+    """Release, deadline and slot of every block of each source, by the given weights.
+
+    Sources without weight come after all others, with equal shares. A slot whose blocks have all run
+    out, or are not released yet, stays empty. Takes 24 bytes and one step of a heap for each block.
+    """
+    placed = {s: (array("q"), array("q"), array("q")) for s in blocks}
+    heavy = {s: Fraction(weights[s]) for s in blocks if weights[s] > 0}
+    begin = 0
+    for shares in (heavy, {s: Fraction(1) for s in blocks if s not in heavy}):
+        unit = math.lcm(1, *(w.denominator for w in shares.values()))
+        whole = {s: int(w * unit) for s, w in shares.items()}
+        total = sum(whole.values())
+        waiting = [(0, str(s), s is None, s) for s in whole if blocks[s]]  # the next block of each source
+        heapq.heapify(waiting)
+        ready: list = []
+        slot = end = 0
+        while waiting or ready:
+            if not ready:
+                slot = max(slot, waiting[0][0])
+            while waiting and waiting[0][0] <= slot:
+                release, *name, s = heapq.heappop(waiting)
+                i = len(placed[s][0])
+                heapq.heappush(ready, (-(-(i + 1) * total // whole[s]), *name, release, s))
+            deadline, *name, release, s = heapq.heappop(ready)
+            for values, value in zip(placed[s], (release, deadline, slot)):
+                values.append(begin + value)
+            slot, end, i = slot + 1, max(end, deadline), len(placed[s][0])
+            if i < blocks[s]:
+                heapq.heappush(waiting, (i * total // whole[s], *name, s))
+        begin += end
+    return placed
+
+
+def _pieces(schedule: dict[str | None, tuple[array, array, array]]) -> Iterator[tuple]:
+    for s, values in schedule.items():
+        for at in range(0, len(values[0]), PIECE):
+            yield (s, at // PIECE, *(v[at : at + PIECE].tolist() for v in values))
+
+
+def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block_bytes: int = BLOCK_BYTES, frame: int | None = None, source_column: str = "source", id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with block, release, deadline and slot of every row; their order is the mixture.
 
     The rows of a source follow each other by the hash of id and text and are cut into blocks by the
@@ -66,7 +114,7 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block
     slots to the others, whose shares keep their proportions. A null source is one of its own; sources
     without a given weight have the lightest given one; a null text has no bytes. Repeated rows each
     have their place, an empty table stays empty, columns with a result's name are replaced.
-    More than MAX_SOURCES sources are an error.
+    More than MAX_SOURCES sources are an error. Without a ``frame`` the weights are exact.
     """
     docs = docs.drop("block", "release", "deadline", "slot").withColumns(
         {"__bytes": n_bytes(text_column), "__order": row_hash(id_column, text_column)}
@@ -78,23 +126,34 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block
         shares = {r[0]: float(max(1, r.bytes)) ** FLATTEN for r in sizes}
     else:
         shares = {r[0]: weights.get(r[0], min(weights.values(), default=1.0)) for r in sizes}
+    groups = max([1, *(math.ceil(r.n / GROUP_ROWS) for r in sizes)])
+    spread = F.col("__order") / F.lit(2.0**HASH_BITS)
+    placed = running_total(docs, [source_column], [F.col("__order"), F.col(id_column)], spread, "__bytes", "__total", groups)
+    placed = placed.withColumn("block", F.floor(F.col("__total") / block_bytes))
+    spark = docs.sparkSession
+    kept = [c for c in docs.columns if not c.startswith("__")]
+    if frame is None:
+        blocks = {r[0]: r.bytes // block_bytes + 1 for r in sizes}
+        pieces = spark.createDataFrame(
+            list(_pieces(exact_schedule(shares, blocks))), "__source string, __piece long, __releases array<long>, __deadlines array<long>, __slots array<long>"
+        )
+        if sum(blocks.values()) <= SENT_BLOCKS:
+            pieces = F.broadcast(pieces)
+        own = F.col(source_column).cast("string").eqNullSafe(F.col("__source")) & (F.floor(F.col("block") / PIECE) == F.col("__piece"))
+        named = [F.expr(f"__{n}s[int(block % {PIECE})]").alias(n) for n in ("release", "deadline", "slot")]
+        return placed.join(pieces, own).select(*kept, "block", *named, "__order")
     slots = slots_of(shares, frame) if shares else {}
     length = sum(slots.values())
-    spark = docs.sparkSession
     table = spark.createDataFrame(
         [(s, slots[s], *rest) for s, *rest in schedule(slots)], "__source string, __n long, __i long, __release long, __deadline long, __slot long"
     )
-    groups = max([1, *(math.ceil(r.n / GROUP_ROWS) for r in sizes)])
-    spread = F.col("__order") / F.lit(2.0**HASH_BITS)
-    placed = running_total(docs, [source_column], [F.col("__order"), F.col(id_column)], spread, "__bytes", "__total", groups)
-    placed = placed.withColumn("block", F.floor(F.col("__total") / block_bytes))
     share = F.broadcast(table.select("__source", "__n").distinct().withColumnRenamed("__source", "__owner"))  # one row for each source
     placed = placed.join(share, F.col(source_column).cast("string").eqNullSafe(F.col("__owner")))
     frames = F.broadcast(table.drop("__n"))  # one row for each slot of a frame
     placed = placed.join(frames, F.col(source_column).cast("string").eqNullSafe(F.col("__source")) & (F.pmod("block", "__n") == F.col("__i")))
     start = F.floor(F.col("block") / F.col("__n")) * length
     return placed.select(
-        *[c for c in docs.columns if not c.startswith("__")], "block", (start + F.col("__release")).alias("release"),
+        *kept, "block", (start + F.col("__release")).alias("release"),
         (start + F.col("__deadline")).alias("deadline"), (start + F.col("__slot")).alias("slot"), "__order",
     )
 

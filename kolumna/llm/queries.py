@@ -37,6 +37,11 @@ def byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mixed(docs, frame=mixing.FRAME).select("doc_id", "source", "block", "release", "deadline", "slot")
+
+
+def exact_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mixed(docs).select("doc_id", "source", "block", "release", "deadline", "slot")
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op5_quality_verdicts": quality_verdicts,
     "op6_benchmark_matches": benchmark_matches,
     "op7_mixture": mixture,
+    "op7_exact_mixture": exact_mixture,
     "op8_languages": languages,
     "op9_private_data": private_data,
     "op10_main_texts": main_texts,

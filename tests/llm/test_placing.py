@@ -114,3 +114,47 @@ def test_mixture_order_and_edges(spark):
     assert Counter((r.doc_id, r.text) for r in found) == Counter(TEXTS)
     assert mixing.in_order(edge_rows(spark)).columns == edge_rows(spark).columns or "block" not in mixing.in_order(edge_rows(spark)).columns
     assert mixing.mixed(edge_rows(spark).limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("weights", [
+    {"heavy": 0.14, **{f"s{i}": 0.86 / 19 for i in range(19)}}, {"half": 0.5, **{f"s{i}": 0.5 / 599 for i in range(599)}},
+    {"a": 1.0, "rare": 1e-4, None: 0.3}, {"a": 2.0, "b": 1.0, "never": 0.0, "nor": 0.0},
+])
+def test_exact_shares(weights):
+    """Within one block of the given weights at every slot, over many frames, until a source runs out."""
+    total, n = sum(weights.values()), 12_000
+    blocks = {s: int(n * w / total) + 1 if w else 5 for s, w in weights.items()}
+    placed = mixing.exact_schedule(weights, blocks)
+    assert {s: len(x[2]) for s, x in placed.items()} == blocks
+    slots = [x for p in placed.values() for x in p[2]]
+    assert len(slots) == len(set(slots))
+    last = max(p[1][-1] for s, p in placed.items() if weights[s])
+    for s, (release, deadline, slot) in placed.items():
+        assert list(slot) == sorted(slot) and all(a <= x < b for a, b, x in zip(release, deadline, slot))
+        if weights[s]:
+            w = weights[s] / total
+            # Before its i-th block is served i blocks are, after it i + 1.
+            assert all(i - x * w < 1 + 1e-6 and i - x * w > -1 - 1e-6 and abs(i + 1 - (x + 1) * w) < 1 + 1e-6 for i, x in enumerate(slot))
+        else:
+            assert min(slot) >= last
+
+
+def test_exact_mixture(spark, monkeypatch):
+    """Shares of the given weights in the rows, with blocks in more than one piece of the schedule."""
+    monkeypatch.setattr(mixing, "GROUP_ROWS", 3)
+    monkeypatch.setattr(mixing, "PIECE", 4)
+    rows = read(spark).withColumns({"order": shards.row_hash("doc_id", "text"), "size": shards.n_bytes("text")}).collect()
+    weights = {s: 1.0 + 100 * (k == 0) for k, s in enumerate(sorted({r.source for r in rows}))}
+    groups, expected = defaultdict(list), {}
+    for r in rows:
+        groups[r.source].append(r)
+    placed = mixing.exact_schedule(weights, {s: sum(r.size for r in m) // 512 + 1 for s, m in groups.items()})
+    for source, members in groups.items():
+        start = 0
+        for r in sorted(members, key=lambda r: (r.order, r.doc_id)):
+            expected[r.doc_id] = (start // 512, *(x[start // 512] for x in placed[source]))
+            start += r.size
+    for sent in (mixing.SENT_BLOCKS, 1):
+        monkeypatch.setattr(mixing, "SENT_BLOCKS", sent)
+        found = mixing.mixed(read(spark), weights, 512).collect()
+        assert {r.doc_id: (r.block, r.release, r.deadline, r.slot) for r in found} == expected and len(found) == len(rows)
