@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from kolumna.llm import decontaminate, language, mixing, shards, simhash
 from kolumna.llm.common import batched, saved, table
@@ -34,8 +35,15 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their shards."""
-    return shards.assigned(docs, SHARD_BYTES)
+    """The documents with their shards, their slot in the mixture and their place in the shard by it.
+
+    Files read again promise no order, so that the slot, which follows from source, hash and bytes, is
+    computed again. Columns named block, release, deadline, slot, place, shard or n_bytes are replaced or dropped.
+    """
+    placed = mixing.mixed(docs.drop("place")).drop("block", "release", "deadline").withColumnRenamed("__order", "order_in_slot")
+    named = shards.assigned(placed, SHARD_BYTES)
+    within = Window.partitionBy("shard").orderBy("slot", "order_in_slot", "doc_id")
+    return named.withColumn("place", F.row_number().over(within)).drop("order_in_slot")
 
 
 STAGES = [

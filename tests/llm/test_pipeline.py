@@ -1,8 +1,9 @@
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 
 from fixtures import SF_DIR, edge_rows, read
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -53,3 +54,21 @@ def test_registered():
     names = contract.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
     assert contract.oracle_sql().keys() <= names.keys()
+
+
+def test_run_shows_the_mixture(spark, monkeypatch):
+    """Rows of run() carry the slot of the mixture, and each shard is numbered by it."""
+    monkeypatch.setattr(corpus_pipeline, "SHARD_BYTES", 1 << 14)
+    result = corpus_pipeline.run(spark, SF_DIR)
+    found = saved(result, "result").collect()
+    kept = read(spark).where(F.col("doc_id").isin([r.doc_id for r in found]))
+    slots = {r.doc_id: r.slot for r in mixing.mixed(kept).collect()}
+    assert {r.doc_id: r.slot for r in found} == slots and len(found) == len(slots)
+    shard = defaultdict(list)
+    for r in found:
+        shard[r.shard].append(r)
+    assert len(shard) > 3 and len(set(slots.values())) > 3
+    for members in shard.values():
+        members.sort(key=lambda r: r.place)
+        assert [r.place for r in members] == list(range(1, len(members) + 1))
+        assert [r.slot for r in members] == sorted(r.slot for r in members)
