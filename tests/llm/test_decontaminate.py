@@ -99,3 +99,30 @@ def test_edges(spark):
     assert decontaminate.contaminated(edge_rows(spark).limit(0), items).collect() == []
     assert decontaminate.contaminated(edge_rows(spark), items.limit(0)).collect() == []
     assert decontaminate.clean(edge_rows(spark), items.limit(0)).count() == edge_rows(spark).count()
+
+
+def test_recall_with_many_items(spark):
+    """2,000 items by length: every verbatim one is found, and those with a fifth of the words changed."""
+    rng = random.Random(9)
+    docs = read(spark).orderBy("doc_id").collect()
+    words = {r.doc_id: [w.decode() for w in decontaminate.words_of(r.text)] for r in docs}
+    long = [d for d in words if len(words[d]) > 80]
+    items = []
+    for k in range(2000):
+        source, n = words[rng.choice(long)], rng.choice([3, 6, 10, 16, 23, 40, 70])
+        at = rng.randrange(len(source) - n)
+        items.append((k, " ".join(source[at : at + n])))
+    index = next(iter(decontaminate.indexes(read(spark), spark.createDataFrame(items, "item_id long, text string"))))
+    everything = [w for d in long for w in words[d]]
+    found, asked = Counter(), Counter()
+    for k, text in items:
+        own, around = text.split(), [rng.choice(everything) for _ in range(120)]
+        changed = [rng.choice(everything) if rng.random() < 0.2 else w for w in own]
+        for kind, planted in (("verbatim", own), ("changed", changed)):
+            if plain_common(own, planted) >= 0.7 * len(own):
+                (matches,) = index.search([" ".join([*around[:60], *planted, *around[60:]])])
+                asked[kind, len(own)] += 1
+                found[kind, len(own)] += k in matches
+    print({k: (found[k], asked[k]) for k in sorted(asked)})
+    for kind, n in asked:
+        assert found[kind, n] >= (1.0 if kind == "verbatim" else 0.8 if n < 10 else 0.95) * asked[kind, n], (kind, n)
