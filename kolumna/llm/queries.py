@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from kolumna.llm import (
     credentials,
     decontaminate,
+    filter_audit,
+    hard_negatives,
     language,
     main_text,
     mixing,
@@ -16,6 +18,7 @@ from kolumna.llm import (
     shards,
     simhash,
     surrogates,
+    word_repeats,
 )
 from kolumna.llm.common import table
 
@@ -80,6 +83,18 @@ def private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
 
 
+def filter_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"))
+
+
+def repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_repeats.without_repeats(table(spark, sf_dir, "documents")).drop("intervals", "kept")
+
+
 QUERIES = {
     "op1_long_repeats": long_repeats,
     "op2_byte_shards": byte_shards,
@@ -92,6 +107,9 @@ QUERIES = {
     "op8_languages": languages,
     "op9_private_data": private_data,
     "op10_main_texts": main_texts,
+    "op11_filter_orders": filter_orders,
+    "op12_hard_negatives": mined_negatives,
+    "op13_word_repeats": repeated_windows,
 }
 
 SQL = {
@@ -100,4 +118,7 @@ SQL = {
     "op3_secret_spans": credentials.spans_sql(),
     "op5_quality_verdicts": quality.verdict_sql(),
     "op7_mixture": mixing.mixture_sql(),
+    "op11_filter_orders": filter_audit.audit_sql(),
+    "op12_hard_negatives": hard_negatives.negatives_sql(),
+    "op13_word_repeats": word_repeats.repeats_sql(),
 }
