@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kolumna.functions.rules import OWN_TYPE_ONLY, RULES, is_empty_literal, rule_types
+from kolumna.operators import nearest_search
 from kolumna.operators.cells import KEYS
 from kolumna.operators.matching import DIGITS_KEPT, best_types
 from kolumna.session import written
@@ -107,3 +108,23 @@ def grown_reference(
     return refs.unionByName(
         added.where(F.col("target_order") <= size).select("s_type", "target", "target_order", "type_order")
     )
+
+
+def grown_until_still(
+    values: DataFrame, refs: DataFrame, nearest: float = 0.10, farthest: float = 0.65, size: int = 30, stages: int = 4
+) -> DataFrame:
+    """The reference set grown by ``values`` (text) round by round, until a round adds nothing.
+
+    Values match what earlier rounds have added as well. In each round only the new targets meet the values, which
+    keep their nearest target so far; a value is compared with a new target only where that one may be nearer.
+    Every round is written; as types have room for ``size`` targets, the rounds end.
+    """
+    strings, fresh = nearest_search.start(values, refs, []), refs
+    while True:
+        strings = nearest_search.improved(strings, fresh, [], stages)
+        matches = nearest_search.results(strings, []).withColumnRenamed("text", "value")
+        grown = written(grown_reference(refs, matches, nearest, farthest, size), "grown")
+        fresh = written(grown.join(refs.select("s_type", "target"), ["s_type", "target"], "left_anti"), "fresh")
+        if fresh.isEmpty():
+            return grown
+        refs = grown

@@ -6,14 +6,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kolumna.operators.cells import KEYS
+from kolumna.operators.steps import computed
 from kolumna.session import written
+from kolumna.sources.records import records
 
 # The index file that is no dataset, and the size in bytes from which files may be skipped.
 INDEX_FILE = "datasets.tsv.gz"
 SIZE_LIMIT = 600_000_000
 
 #: How delimited text is written and read: quotes inside quotes are doubled, cells may hold line
-#: breaks and keep their outer blanks. A file is one task then, as a compressed one is anyway.
+#: breaks and keep their outer blanks.
 TEXT_OPTIONS = {
     "quote": '"', "escape": '"', "lineSep": "\n", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
 }
@@ -26,6 +28,12 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", "length")
 
 
+def file_states(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, length, modified) of all files below a folder, with paths as readers give them in ``_metadata``."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return found.select(F.col("_metadata.file_path").alias("path"), F.col("length"), F.col("modificationTime").alias("modified"))
+
+
 def base_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)$", 1)
 
@@ -62,33 +70,38 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", header=True, inferSchema=True, **READ_OPTIONS)
 
 
-def widest_row(spark: SparkSession, paths: list[str]) -> int:
-    """Cells of the widest line of all files; a tab inside quotes counts, so no row has more."""
-    tabs = F.length("value") - F.length(F.replace("value", F.lit("\t"), F.lit("")))
-    return 1 + (spark.read.text(paths, lineSep="\n").agg(F.max(tabs)).first()[0] or 0)
+def cells_of_records(rows: DataFrame, separator: str = "\t") -> DataFrame:
+    """(file, row, cells) of ``rows`` (file, row, record): an array of text for each record, an empty cell is null.
+
+    The separators of the widest record, also those inside quotes, tell how many cells there are at most.
+    """
+    found = F.length("record") - F.length(F.replace("record", F.lit(separator), F.lit("")))
+    width = 1 + (rows.agg(F.max(found)).first()[0] or 0)
+    names = [f"c{i}" for i in range(width)]
+    options = {**TEXT_OPTIONS, "sep": separator, "maxCharsPerColumn": -1, "maxColumns": width + 1}
+    parsed = F.from_csv("record", ", ".join(f"{n} string" for n in names), {k: str(v) for k, v in options.items()})
+    return computed(rows, parsed=parsed).select("file", "row", F.array(*[F.col(f"parsed.{n}") for n in names]).alias("cells"))
 
 
 def tsv_frequencies(spark: SparkSession, paths: list[str], dataset: Column | None = None) -> DataFrame:
-    """Value frequencies of all columns of many compressed files, in one wide shuffle.
-
-    Files may differ in their columns, and none is cut off: one look at the lines finds how wide the
-    widest is. Values are raw text, an empty cell is null. A file is read by one task from its start,
-    so its header is the row with its smallest row number: the header cells are found among the
-    counted values, which are written once, and taken out again. ``dataset`` (of ``file``) names the
-    dataset, by default the file's name; files of one dataset are added up. Names that occur twice in
-    a header get their position, columns without a name are called ``_c`` + position.
+    """Value frequencies of all columns of many files, in one wide shuffle.
+
+    Files may differ in their columns, and none is cut off. They are read once, as lines, a large one that is
+    not compressed by many tasks. Values are raw text, an empty cell is null. The header of a file is
+    its first record: the header cells are found among the counted values, which are written once, and
+    taken out again. ``dataset`` (of ``file``) names the dataset, by default the file's name; files of one
+    dataset are added up. Names that occur twice in a header get their position, columns without a name
+    are called ``_c`` + position.
     """
-    width = widest_row(spark, paths)
-    names = [f"c{i}" for i in range(width)]
-    rows = spark.read.csv(paths, sep="\t", header=False, schema=", ".join(f"{n} string" for n in names), **READ_OPTIONS)
-    rows = rows.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"), *names)
-    exploded = rows.select("file", "row", F.posexplode(F.array(*names, F.lit(""))).alias("pos", "value"))
+    rows = cells_of_records(records(spark, paths))
+    marked = F.concat(F.array(F.lit("")), F.col("cells"))
+    exploded = rows.select("file", "row", F.posexplode(marked).alias("place", "value")).withColumn("pos", F.col("place") - 1)
     counted = exploded.where(F.col("value").isNotNull()).groupBy("file", "pos", "value").agg(
         F.count("*").alias("n"), F.min("row").alias("first")
     )
     counted = written(counted, "counted")
-    # The constant last cell counts the rows of each file.
-    is_marker = F.col("pos") == width
+    # The constant cell in front counts the rows of each file.
+    is_marker = F.col("pos") == -1
     files = counted.where(is_marker).select("file", (F.col("n") - 1).alias("rows"), F.col("first").alias("head"))
     known = counted.where(~is_marker).join(files, "file")
     in_head = F.col("first") == F.col("head")

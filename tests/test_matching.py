@@ -121,7 +121,7 @@ def test_files(spark, tmp_path):
         ("one.tsv.gz", "A0", "1", 2), ("one.tsv.gz", "a1", "2", 1), ("one.tsv.gz", "a1", "3", 1),
         ("one.tsv.gz", "b.c", "x", 1), ("one.tsv.gz", "b.c", None, 1), ("two.tsv.gz", "only", "v", 1), ("two.tsv.gz", "only", "only", 1),
     }
-    assert files.widest_row(spark, paths) == 3 and files.within_size(found).count() == 2 and files.oversized(found).count() == 0
+    assert files.within_size(found).count() == 2 and files.oversized(found).count() == 0
 
 
 def test_profile_json(spark, tmp_path):
