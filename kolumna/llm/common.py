@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,22 @@ def batched(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def sealed(df: DataFrame, *replaced: str) -> tuple[DataFrame, dict[str, str], Callable[..., DataFrame]]:
+    """``df`` without the columns of ``replaced`` and with plain names for all others, these names, and a
+    function that takes a result back to the own names, followed by new columns.
+
+    Between the two no name of a caller meets one of an operator, whatever dots or underscores it has.
+    """
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    gone = {name.lower() for name in replaced}
+    kept = [(name, f"c{i}") for i, name in enumerate(df.columns) if name.lower() not in gone]
+
+    def opened(result: DataFrame, *new: str) -> DataFrame:
+        return result.select(*[F.col(inner).alias(name) for name, inner in kept], *new)
+
+    return plain.select(*[inner for _, inner in kept]), dict(kept), opened
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null is empty."""
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]

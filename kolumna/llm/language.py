@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from kolumna.llm.common import sealed
+
 #: The fit reads at most this many texts of a language, at most this many characters of each, and
 #: stops at this many bytes of dictionary. Prediction reads whole texts.
 FIT_TEXTS, FIT_CHARS, DICTIONARY_BYTES = 64, 4096, 16384
@@ -89,9 +91,9 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], text_column: str =
     same answer; an empty table stays empty; columns of ``docs`` with a result's name are replaced.
     Without any learned language all is ``und``.
     """
-    docs = docs.drop(pred, score, rejected)
+    docs, names, opened = sealed(docs, pred, score, rejected)
     schema = StructType([*docs.schema.fields, *StructType.fromDDL(f"`{pred}` string, `{score}` double, `{rejected}` boolean").fields])
-    at = docs.columns.index(text_column)
+    at = docs.columns.index(names[text_column])
 
     def run(batches):
         coders = compressors(dictionaries)
@@ -104,10 +106,11 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], text_column: str =
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, pred, score, rejected])
 
-    return docs.mapInArrow(run, schema)
+    return opened(docs.mapInArrow(run, schema), pred, score, rejected)
 
 
-def known(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
-    """``docs`` without the rows whose language is rejected."""
-    judged = predict(docs, dictionaries, pred="__pred", score="__score", rejected="__rejected")
-    return judged.where(~F.col("__rejected")).select(*docs.columns)
+def known(docs: DataFrame, dictionaries: dict[str, bytes], text_column: str = "text") -> DataFrame:
+    """``docs`` without the rows whose language is rejected: null texts, texts without a letter and those
+    whose two best languages are close. Repeated rows go or stay together; an empty table stays empty."""
+    plain, names, opened = sealed(docs)
+    return opened(predict(plain, dictionaries, names[text_column]).where("not rejected"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from kolumna.llm.common import map_batches
+from kolumna.llm.common import map_batches, sealed
 
 #: The fit reads at most this many pages, those with the smallest hashes, and none longer than this.
 FIT_PAGES, FIT_CHARS = 400, 200_000
@@ -209,8 +209,8 @@ def extract(pages: DataFrame, weights: Weights, html_column: str = "html", text:
     A null or blank page has an empty text. Repeated pages give the same text, an empty table stays
     empty, columns of ``pages`` with a result's name are replaced. Pages of any length are read whole.
     """
-    pages = pages.drop(text, n_chars)
-    at = pages.columns.index(html_column)
+    pages, inner, opened = sealed(pages, text, n_chars)
+    at = pages.columns.index(inner[html_column])
     schema = StructType([*pages.schema.fields, *StructType.fromDDL(f"`{text}` string, `{n_chars}` long").fields])
 
     def run(batches):
@@ -219,4 +219,4 @@ def extract(pages: DataFrame, weights: Weights, html_column: str = "html", text:
             extra = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, text, n_chars])
 
-    return pages.mapInArrow(run, schema)
+    return opened(pages.mapInArrow(run, schema), text, n_chars)

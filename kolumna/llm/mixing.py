@@ -20,7 +20,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kolumna.llm.common import running_total
+from kolumna.llm.common import running_total, saved, sealed
 from kolumna.llm.shards import HASH_BITS, n_bytes, row_hash
 
 #: Slots of a frame: weights are multiples of one slot. With more sources than half of it, it grows to two for each.
@@ -33,6 +33,7 @@ BLOCK_BYTES = 1 << 16
 MAX_SOURCES = 100_000
 #: Rows that are ordered in one group.
 GROUP_ROWS = 500
+RESULTS = ("block", "release", "deadline", "slot")
 #: Exponent that flattens the sizes of sources to weights where none are given.
 FLATTEN = 0.5
 
@@ -116,9 +117,14 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block
     have their place, an empty table stays empty, columns with a result's name are replaced.
     More than MAX_SOURCES sources are an error. Without a ``frame`` the weights are exact.
     """
-    docs = docs.drop("block", "release", "deadline", "slot").withColumns(
-        {"__bytes": n_bytes(text_column), "__order": row_hash(id_column, text_column)}
-    )
+    docs, names, opened = sealed(docs, *RESULTS)
+    return opened(_placed(docs, weights, block_bytes, frame, *(names[c] for c in (source_column, id_column, text_column))), *RESULTS)
+
+
+def _placed(docs: DataFrame, weights, block_bytes: int, frame: int | None, source_column: str, id_column: str, text_column: str) -> DataFrame:
+    """``mixed`` on plain names, with the hash by which rows follow each other as ``order_in_slot``."""
+    columns = docs.columns
+    docs = docs.withColumns({"__bytes": n_bytes(text_column), "__order": row_hash(id_column, text_column)})
     sizes = docs.groupBy(source_column).agg(F.sum("__bytes").alias("bytes"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(sizes) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources: name coarser ones")
@@ -131,7 +137,6 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block
     placed = running_total(docs, [source_column], [F.col("__order"), F.col(id_column)], spread, "__bytes", "__total", groups)
     placed = placed.withColumn("block", F.floor(F.col("__total") / block_bytes))
     spark = docs.sparkSession
-    kept = [c for c in docs.columns if not c.startswith("__")]
     if frame is None:
         blocks = {r[0]: r.bytes // block_bytes + 1 for r in sizes}
         pieces = spark.createDataFrame(
@@ -141,7 +146,7 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block
             pieces = F.broadcast(pieces)
         own = F.col(source_column).cast("string").eqNullSafe(F.col("__source")) & (F.floor(F.col("block") / PIECE) == F.col("__piece"))
         named = [F.expr(f"__{n}s[int(block % {PIECE})]").alias(n) for n in ("release", "deadline", "slot")]
-        return placed.join(pieces, own).select(*kept, "block", *named, "__order")
+        return placed.join(pieces, own).select(*columns, "block", *named, F.col("__order").alias("order_in_slot"))
     slots = slots_of(shares, frame) if shares else {}
     length = sum(slots.values())
     table = spark.createDataFrame(
@@ -153,15 +158,32 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block
     placed = placed.join(frames, F.col(source_column).cast("string").eqNullSafe(F.col("__source")) & (F.pmod("block", "__n") == F.col("__i")))
     start = F.floor(F.col("block") / F.col("__n")) * length
     return placed.select(
-        *kept, "block", (start + F.col("__release")).alias("release"),
-        (start + F.col("__deadline")).alias("deadline"), (start + F.col("__slot")).alias("slot"), "__order",
+        *columns, "block", (start + F.col("__release")).alias("release"),
+        (start + F.col("__deadline")).alias("deadline"), (start + F.col("__slot")).alias("slot"), F.col("__order").alias("order_in_slot"),
     )
 
 
-def in_order(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` in the order of the mixture."""
-    placed = mixed(docs, **options)
-    return placed.orderBy("slot", "__order", options.get("id_column", "doc_id")).select(*docs.columns)
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of its own for every row, as ``row``: written, so that numbers stay the same."""
+    return saved(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+
+
+def slots(rows: DataFrame, source_column: str, id_column: str, text_column: str, weights=None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(row, slot, order_in_slot) of the numbered ``rows``; texts are measured and stay where they are."""
+    narrow = rows.select("row", source_column, id_column, text_column)
+    return _placed(narrow, weights, block_bytes, None, source_column, id_column, text_column).select("row", "slot", "order_in_slot")
+
+
+def in_order(docs: DataFrame, weights: dict[str | None, float] | None = None, block_bytes: int = BLOCK_BYTES, source_column: str = "source", id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` in the order of the mixture: by slot, within a slot by the hash of id and text.
+
+    Takes what ``mixed`` takes; all columns stay. The order is found on numbers of rows; texts are shuffled
+    twice, to their slots and into their order.
+    """
+    plain, names, opened = sealed(docs)
+    rows = numbered(plain)
+    places = saved(slots(rows, *(names[c] for c in (source_column, id_column, text_column)), weights, block_bytes), "slots")
+    return opened(rows.join(places, "row").orderBy("slot", "order_in_slot", "row"))
 
 
 def mixture_sql(block_bytes: int = BLOCK_BYTES, frame: int = FRAME) -> str:

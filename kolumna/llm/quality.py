@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kolumna.llm.common import BLANKS
+from kolumna.llm.common import BLANKS, sealed
 from kolumna.operators.steps import computed
 
 SYMBOLS = "#*$%&|<>"
@@ -77,12 +77,20 @@ def _covered(hashes: Column, size: int) -> Column:
     return _bind(ordered, lambda s: _bind(starts(s), width))
 
 
+#: Counts and ratios of a text, in the order in which they follow its columns.
+MEASURES = [
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "letter_words_ratio", "stop_word_ratio", "capital_words_ratio",
+    "bullet_lines_ratio", "ellipsis_lines_ratio", "mean_word_chars", "symbols_per_word", "dup_lines_ratio",
+]
+
+
 def measures(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``docs`` with the measures of each whole text; null counts as empty.
 
     Columns of ``docs`` with the name of a measure are replaced.
     """
-    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    docs, names, opened = sealed(docs, *MEASURES)
+    text = F.coalesce(F.col(names[text_column]).cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(_WORD))
     words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+", -1), lambda w: w != "")
     df = computed(docs, __text=text, __words=words, __lines=lines)
@@ -104,14 +112,12 @@ def measures(docs: DataFrame, text_column: str = "text") -> DataFrame:
         "bullet_lines_ratio": per(some(F.col("__lines"), lambda x: x.rlike("^\\s*[-*•‣●]")), n_lines),
         "ellipsis_lines_ratio": per(some(F.col("__lines"), lambda x: x.rlike("(\\.\\.\\.|…)\\s*$")), n_lines),
     }
-    df = computed(df.drop(*counted), **{f"__{name}": c for name, c in counted.items()})
-    return df.select(
-        *[c for c in df.columns if not c.startswith("__")],
-        *[F.col(f"__{name}").alias(name) for name in counted],
-        per(F.col("__word_chars"), F.col("__n_words")).alias("mean_word_chars"),
-        per(F.col("__n_symbols"), F.col("__n_words")).alias("symbols_per_word"),
-        per(F.col("__n_dup_lines"), n_lines).alias("dup_lines_ratio"),
-    )
+    df = computed(df, **counted)
+    ratios = {
+        "mean_word_chars": per(F.col("word_chars"), F.col("n_words")), "symbols_per_word": per(F.col("n_symbols"), F.col("n_words")),
+        "dup_lines_ratio": per(F.col("n_dup_lines"), n_lines),
+    }
+    return opened(df.withColumns(ratios), *MEASURES)
 
 
 def base_failed() -> Column:
@@ -133,8 +139,8 @@ def judged(docs: DataFrame, rules=RULES, text_column: str = "text") -> DataFrame
     A null or blank text has no words and fails. Ratios of nothing pass their rule. Repeated rows are
     judged alike, an empty table stays empty, any length is read whole.
     """
-    df = measures(docs, text_column).drop("base_failed", "kept")
-    return df.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & passes(rules))
+    df = measures(docs.drop("base_failed", "kept"), text_column).withColumn("base_failed", base_failed())
+    return df.withColumn("kept", ~F.col("base_failed") & passes(rules))
 
 
 def verdict_sql() -> str:

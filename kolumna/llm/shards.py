@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kolumna.llm.common import saved
+from kolumna.llm.common import saved, sealed
 
 HASH_BITS = 60
 #: Bits by which the fine prefixes of a level are longer than the directory is expected to be.
@@ -74,7 +74,12 @@ def assigned(docs: DataFrame, limit: int, id_column: str = "doc_id", text_column
     bytes, a null id hashes as an empty one; an empty table stays empty; columns with a result's name
     are replaced. Without need to split there is one shard with an empty name.
     """
-    docs = docs.drop(shard, size).withColumns({"__h": row_hash(id_column, text_column), size: n_bytes(text_column)})
+    docs, names, opened = sealed(docs, shard, size)
+    return opened(_assigned(docs, limit, names[id_column], names[text_column], shard, size), size, shard)
+
+
+def _assigned(docs: DataFrame, limit: int, id_column: str, text_column: str, shard: str, size: str) -> DataFrame:
+    docs = docs.withColumns({"__h": row_hash(id_column, text_column), size: n_bytes(text_column)})
     levels = directory(docs.select(F.col("__h").alias("h"), F.col(size).alias("bytes")), limit)
     depth: Column = F.lit(None).cast("int")
     for k, (bits, nodes) in enumerate(levels):
@@ -87,7 +92,7 @@ def assigned(docs: DataFrame, limit: int, id_column: str = "doc_id", text_column
     equal = nodes.where("depth is null")
     if not equal.isEmpty():
         named = paged(named, limit, size, shard, depth.isNull())
-    return named.select(*[c for c in named.columns if not c.startswith("__")])
+    return named
 
 
 def paged(docs: DataFrame, limit: int, size: str, shard: str, crowded: Column) -> DataFrame:

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kolumna.llm.common import arrow_schema, as_bytes, connected, map_batches, mixed_bits, saved
+from kolumna.llm.common import as_bytes, connected, map_batches, saved, sealed
 
 SEED = 42
 #: Fingerprints under one key that a task compares directly; beyond it the key is cut further.
@@ -40,12 +40,15 @@ def fingerprint(text: bytes, width: int) -> int:
     return int.from_bytes(np.packbits(2 * count > len(hashes)).tobytes(), "big")
 
 
+def _fingerprints(texts: pa.Array, width: int) -> np.ndarray:
+    return np.array([fingerprint(t, width) for t in as_bytes(texts)], dtype=np.uint64).view(np.int64)
+
+
 def fingerprints(docs: DataFrame, width: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, fp long) of every row; null and blank texts have fingerprint zero."""
 
     def of(batch: pa.RecordBatch) -> dict:
-        fps = np.array([fingerprint(t, width) for t in as_bytes(batch.column(1))], dtype=np.uint64)
-        return {"doc_id": batch.column(0), "fp": fps.view(np.int64)}
+        return {"doc_id": batch.column(0), "fp": _fingerprints(batch.column(1), width)}
 
     picked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     return map_batches(picked, of, "doc_id long, fp long")
@@ -157,6 +160,14 @@ def components(docs: DataFrame, width: int = 3, bits: int = 3, id_column: str =
     columns are ignored.
     """
     fps = saved(fingerprints(docs, width, id_column, text_column), "fingerprints")
+    named = labelled_classes(fps, bits, run_limit)
+    return fps.join(named, F.col("fp") == F.col("f")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def labelled_classes(fps: DataFrame, bits: int, run_limit: int) -> DataFrame:
+    """(f, label, component_id) of every different fingerprint of ``fps`` (doc_id, fp)."""
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     classes = saved(classes, "classes")
     stars = connected(links(classes.select("fp"), bits, run_limit), "stars")
@@ -164,190 +175,31 @@ def components(docs: DataFrame, width: int = 3, bits: int = 3, id_column: str =
     # Written like the minima above, so that joins on the label of a large class can be split.
     labelled = saved(classes.join(stars, "fp", "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label")), "labelled")
     least = labelled.groupBy("label").agg(F.min("first_id").alias("component_id")).withColumnRenamed("label", "l")
-    named = labelled.join(saved(least, "least"), F.col("label") == F.col("l")).select(F.col("fp").alias("f"), "component_id")
-    return fps.join(named, F.col("fp") == F.col("f")).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
-
-
-#: Near copies in the sense of the corpus have a Jaccard similarity of MIN_SIMILARITY or more of their
-#: SHINGLE-word shingles. The least hashes in SKETCH bins are keys, BAND bins together: of two texts with a
-#: similarity of 0.8 one of the 32 bands is equal in all but (1 - 0.8 ** 4) ** 32 = 5e-8 of the cases. Texts
-#: that share a band meet if their sketches estimate LOOSE, four standard deviations less than what is asked,
-#: and their shingles decide.
-SHINGLE, SKETCH, BAND, MIN_SIMILARITY, LOOSE = 5, 128, 4, 0.8, 0.66
-
-
-def shingle_hashes(words: list[bytes]) -> np.ndarray:
-    """Hashes of the different shingles, sorted; a text of fewer words is one shingle."""
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    line = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = (ends - [len(w) for w in words]).tolist()
-    digest = xxhash.xxh3_64_intdigest
-    return np.unique(np.array([digest(line[s:e]) for s, e in zip(starts, ends[min(SHINGLE, len(words)) - 1 :].tolist())], dtype=np.uint64))
-
-
-def sketch_of(hashes: np.ndarray) -> bytes:
-    """Of sorted hashes in each of SKETCH bins the least, 16 bits of it; an empty bin is zero."""
-    bins = (hashes % np.uint64(SKETCH)).astype(np.int64)
-    some, first = np.unique(bins, return_index=True)
-    sketch = np.zeros(SKETCH, dtype=np.uint16)
-    sketch[some] = ((hashes[first] >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.uint16) | np.uint16(1)
-    return sketch.tobytes()
-
+    named = labelled.join(saved(least, "least"), F.col("label") == F.col("l"))
+    return named.select(F.col("fp").alias("f"), "label", "component_id")
 
-def shingle_sketch(words: list[bytes]) -> bytes:
-    return sketch_of(shingle_hashes(words))
 
+def one_of_each(docs: DataFrame, width: int = 3, bits: int = 3, id_column: str = "doc_id", text_column: str = "text", run_limit: int = RUN_LIMIT) -> DataFrame:
+    """``docs`` with one row of each class of ``components``, that of the smallest doc_id.
 
-def band_keys(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of the bands of ``sketches`` that are not empty."""
-    bands = np.ascontiguousarray(sketches).view(np.uint64)
-    rows, columns = np.nonzero(bands)
-    return rows, mixed_bits(bands[rows, columns] + columns.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
-def _spread(n: int, near) -> tuple[list[int], list[int]]:
-    """Links that hold together what accepted links join: ``near(one, rest)`` tells which of ``rest`` are accepted."""
-    left, right, rest = [], [], np.arange(n)
-    while len(rest) > 1:
-        queue, rest = [int(rest[0])], rest[1:]
-        while queue and len(rest):
-            one = queue.pop()
-            accepted = near(one, rest)
-            found = rest[accepted].tolist()
-            left += [one] * len(found)
-            right += found
-            queue += found
-            rest = rest[~accepted]
-    return left, right
-
-
-def loosely_alike(values: list[bytes]) -> tuple[list[int], list[int]]:
-    """Links of sketches that estimate LOOSE or more."""
-    sketches = np.frombuffer(b"".join(values), dtype=np.uint16).reshape(-1, SKETCH)
-
-    def near(one: int, rest: np.ndarray) -> np.ndarray:
-        others = sketches[rest]
-        used = ((others | sketches[one]) > 0).sum(axis=1)
-        return ((others == sketches[one]) & (others > 0)).sum(axis=1) >= LOOSE * used
-
-    return _spread(len(values), near)
-
-
-def alike(values: list[bytes]) -> tuple[list[int], list[int]]:
-    """Links of sets of shingles with a Jaccard similarity of MIN_SIMILARITY or more."""
-    sets = [np.frombuffer(v, dtype=np.uint32) for v in values]
-    sizes = np.array([len(x) for x in sets])
-    starts = np.cumsum(sizes) - sizes
-    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    flags = np.zeros(len(codes) + 1, dtype=np.int32)
-
-    def near(one: int, rest: np.ndarray) -> np.ndarray:
-        own = codes[starts[one] : starts[one] + sizes[one]]
-        flags[own] = 1
-        first = int(starts[rest[0]])
-        both = np.add.reduceat(flags[codes[first:]], starts[rest[0] :] - first)[rest - rest[0]]
-        flags[own] = 0
-        return both >= MIN_SIMILARITY * (sizes[one] + sizes[rest] - both)
-
-    return _spread(len(values), near)
-
-
-def links_in_runs(members: DataFrame, function) -> DataFrame:
-    """(a, b) of ``members`` (sign, key, value): the links of ``function`` in every run of equal keys."""
-    fields = arrow_schema(members.sparkSession, "a long, b long")
-
-    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signs, values, key = [], [], None
-        for batch in batches:
-            left, right = [], []
-            for sign, at, value in zip(*(column.to_pylist() for column in batch.columns)):
-                if at != key:
-                    _linked(signs, values, left, right)
-                    signs, values, key = [], [], at
-                signs.append(sign)
-                values.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], schema=fields)
-        left, right = [], []
-        _linked(signs, values, left, right)
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], schema=fields)
-
-    def _linked(signs: list[int], values: list[bytes], left: list[int], right: list[int]) -> None:
-        if len(signs) > 1:
-            a, b = function(values)
-            left += [signs[i] for i in a]
-            right += [signs[i] for i in b]
-
-    ordered = members.select("sign", "key", "value").repartition("key").sortWithinPartitions("key")
-    return ordered.mapInArrow(scan, "a long, b long").distinct()
-
-
-def band_members(signs: DataFrame, run_limit: int) -> DataFrame:
-    """(sign, key) of texts that share a band with others, of ``signs`` (sign, sketch). A band that more
-    than ``run_limit`` share is cut by each other band: texts as similar as asked share more than one."""
-
-    def keys(batch: pa.RecordBatch) -> dict:
-        sketches = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint16).reshape(-1, SKETCH)
-        rows, found = band_keys(sketches)
-        return {"sign": batch.column(0).take(pa.array(rows)), "key": found.view(np.int64)}
-
-    keyed = saved(map_batches(signs.select("sign", "sketch"), keys, "sign long, key long"), "band_keys")
-    counts = saved(keyed.groupBy("key").count().where("count > 1").withColumnRenamed("key", "k"), "band_counts")
-    shared = saved(keyed.join(counts, F.col("key") == F.col("k")).select("sign", "key", (F.col("count") > run_limit).alias("crowded")), "shared")
-    few = shared.where("not crowded").select("sign", "key")
-    many = shared.where("crowded").select("sign", "key")
-    if many.isEmpty():
-        return few
-    # The other bands include those that are not crowded, where few of the crowd meet.
-    other = shared.select(F.col("sign").alias("s"), F.col("key").alias("other"))
-    pairs = many.join(other, F.col("sign") == F.col("s")).where("key <> other")
-    cut = pairs.select("sign", F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key")).distinct()
-    return saved(few.unionByName(cut), "members")
-
-
-def near_copy_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", run_limit: int = RUN_LIMIT) -> DataFrame:
-    """(doc_id, row, class) of every row: ``row`` is the hash of its id and text, ``class`` names its group of near copies.
-
-    Texts that share a band and a loose estimate form groups first. Within a group, and in one of more than
-    ``run_limit`` texts within its bands, the shingles decide; only accepted links hold a class together.
+    Null and blank texts are copies of each other. A null id comes after all others; of rows with the
+    same id and text one stays, whatever their other columns. An empty table stays empty. Texts are
+    shuffled once, to the keys of the rows that stay.
     """
+    plain, names, opened = sealed(docs)
+    ids, text = F.col(names[id_column]).cast("long"), F.col(names[text_column]).cast("string")
+    row = F.xxhash64(ids.isNull(), text)
+    keyed = plain.select("*", F.coalesce(ids, F.lit(0)).alias("id"), row.alias("row"))
 
     def of(batch: pa.RecordBatch) -> dict:
-        found = [shingle_hashes(t.lower().split()) for t in as_bytes(batch.column(2))]
-        sets = [np.unique((h >> np.uint64(32)).astype(np.uint32)).tobytes() for h in found]
-        signs = np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in found], dtype=np.uint64).view(np.int64)
-        return {"doc_id": batch.column(0), "row": batch.column(1), "sign": signs, "sketch": [sketch_of(h) for h in found], "shingles": sets}
-
-    text = F.col(text_column).cast("string")
-    picked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(F.col(id_column).cast("long"), text).alias("row"), text.alias("text"))
-    rows = saved(map_batches(picked, of, "doc_id long, row long, sign long, sketch binary, shingles binary"), "shingles")
-    signs = saved(rows.groupBy("sign", "sketch").count().drop("count"), "signs")
-    members = band_members(signs, run_limit)
-    loose = links_in_runs(members.join(signs, "sign").withColumnRenamed("sketch", "value"), loosely_alike)
-    groups = saved(connected(loose, "groups").distinct(), "grouped")
-    sizes = saved(groups.groupBy("label").count().withColumnRenamed("label", "l"), "group_sizes")
-    groups = groups.join(sizes, F.col("label") == F.col("l"))
-    small = groups.where(F.col("count") <= run_limit).select(F.col("node").alias("sign"), F.col("label").alias("key"))
-    large = groups.where(F.col("count") > run_limit).select(F.col("node").alias("n"))
-    small = small.unionByName(members.join(large, F.col("sign") == F.col("n"), "left_semi"))
-    grouped = groups.select(F.col("node").alias("n"))
-    sets = rows.join(grouped, F.col("sign") == F.col("n"), "left_semi").select("sign", "shingles").dropDuplicates(["sign"])
-    exact = links_in_runs(small.join(sets, "sign").withColumnRenamed("shingles", "value"), alike)
-    stars = connected(exact, "stars").withColumnRenamed("node", "n")
-    return rows.join(stars, F.col("sign") == F.col("n"), "left").select("doc_id", "row", F.coalesce("label", "sign").alias("class"))
-
-
-def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near copies, that of the smallest doc_id.
-
-    Null and blank texts are copies of each other. A null id comes after all others; of rows with the
-    same id and text one stays, whatever their other columns. An empty table stays empty.
-    """
-    classes = near_copy_classes(docs, id_column, text_column)
-    first = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    kept = classes.groupBy("class").agg(F.min(first).alias("first")).select(F.col("first.row").alias("__kept"))
-    keyed = docs.withColumn("__row", F.xxhash64(F.col(id_column).cast("long"), F.col(text_column).cast("string")))
-    return keyed.join(kept, F.col("__row") == F.col("__kept")).dropDuplicates(["__row"]).select(*docs.columns)
+        return {"doc_id": batch.column(0), "row": batch.column(1), "fp": _fingerprints(batch.column(2), width)}
+
+    fps = map_batches(plain.select(ids.alias("doc_id"), row.alias("row"), text.alias("text")), of, "doc_id long, row long, fp long")
+    fps = saved(fps, "fingerprints")
+    named = saved(labelled_classes(fps, bits, run_limit).select("f", "label"), "named")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    # Per fingerprint first, so that a class that holds a third of the rows is small before it meets.
+    least = saved(fps.groupBy("fp").agg(first), "first_of_fingerprints").join(named, F.col("fp") == F.col("f"))
+    kept = least.groupBy("label").agg(F.min("first").alias("first"))
+    kept = saved(kept.select(F.coalesce("first.doc_id", F.lit(0)).alias("id"), "first.row"), "kept")
+    return opened(keyed.join(kept, ["id", "row"]).dropDuplicates(["id", "row"]))

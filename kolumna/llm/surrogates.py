@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from kolumna.llm.common import map_batches, saved
+from kolumna.llm.common import map_batches, saved, sealed
 
 #: Collisions left after so many rounds are an error: the surrogates of a kind are used up.
 MAX_ROUNDS = 40
@@ -222,7 +222,8 @@ def replaced(docs: DataFrame, key: str, text_column: str = "text", n: str = "n_e
     replaced. Surrogates depend on the key and the entity, and on other entities only after a collision.
     """
     secret = key.encode()
-    docs = docs.drop(n, spans)
+    docs, inner, opened = sealed(docs, n, spans)
+    text_column = inner[text_column]
     columns, at = docs.columns, docs.columns.index(text_column)
     # Rows that share a hash share their entities: a value's surrogate is the same in all rows anyway.
     # The other columns only keep copies of one text apart, so that they do not meet in one task.
@@ -256,4 +257,4 @@ def replaced(docs: DataFrame, key: str, text_column: str = "text", n: str = "n_e
             arrays[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, n, spans])
 
-    return joined.mapInArrow(rewrite, schema)
+    return opened(joined.mapInArrow(rewrite, schema), n, spans)

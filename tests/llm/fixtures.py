@@ -4,7 +4,8 @@ SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, kept string, score string, shard int, n_bytes string, "
     "block string, slot string, spans int, fp string, h string, row string, label string, class string, rejected int, "
-    "lang_pred int, n_words string, n_entities string, id string, tag string, count string, key string, bytes string"
+    "lang_pred int, n_words string, n_entities string, id string, tag string, count string, key string, bytes string, "
+    "`a.b` string, __x int, __bytes string, __row string, `c 0` string, c1 string, place string"
 )
 PROSE = "The quick brown fox jumps over the lazy dog and runs to the river with all of its friends.\nThen they sleep in the sun. "
 TEXTS = [
@@ -14,7 +15,7 @@ TEXTS = [
 
 
 def edge_rows(spark, texts=TEXTS):
-    rows = [(i, t, "en" if k % 2 else None, "s" if k % 3 else None, None, *["z" if f.split()[1] == "string" else 7 for f in SCHEMA.split(", ")[5:]]) for k, (i, t) in enumerate(texts)]
+    rows = [(i, t, "en" if k % 2 else None, "s" if k % 3 else None, None, *["z" if f.split()[-1] == "string" else 7 for f in SCHEMA.split(", ")[5:]]) for k, (i, t) in enumerate(texts)]
     return spark.createDataFrame(rows, SCHEMA)
 
 

@@ -76,7 +76,6 @@ def test_edges(spark, monkeypatch, cells):
     rng = random.Random(3)
     texts = TEXTS + [(i, rng.choice(["same $", "SAME", "", None, f"unique {i} " * 60])) for i in range(20, 400)] + [(None, "same $"), (None, "only here")]
     docs = edge_rows(spark, texts).withColumnsRenamed({"h": "mask", "kept": "digest", "score": "doubt", "shard": "part"})
-    docs = docs.withColumnRenamed("spans", "a.b").withColumnRenamed("fp", "__x")
     labels = spark.createDataFrame(
         [(i, rng.choice([0, 1, None]), rng.choice([0, 1, None]), "x") for i in list(range(20, 200)) * 2 + [None]], "doc_id long, quality int, toxic int, mask string"
     )

@@ -25,10 +25,7 @@ def test_stages_against_plain_versions(spark):
     rejected = {r.doc_id for r in before.collect() if language.classify(r.text, coders)[1] < language.MIN_SCORE}
     assert {r.doc_id for r in after.collect()} == {r.doc_id for r in before.collect()} - rejected
     before, after = steps["near_copies"]
-    first = {}
-    for r in simhash.near_copy_classes(before).collect():
-        first[r["class"]] = min(r.doc_id, first.get(r["class"], r.doc_id))
-    assert {r.doc_id for r in after.collect()} == set(first.values())
+    assert {r.doc_id for r in after.collect()} == {r.component_id for r in simhash.components(before).collect()}
     texts = Counter(r.text for r in after.collect())
     assert max(texts.values()) == 1
     before, after = steps["benchmark"]

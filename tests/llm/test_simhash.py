@@ -75,103 +75,41 @@ def test_edges(spark):
     assert simhash.components(edge_rows(spark).limit(0)).collect() == []
 
 
+def kept_by_hand(rows, width=3, bits=3):
+    """Of ``rows`` (doc_id, text) one of each class: the smallest id, none after all others."""
+    roots = plain_classes([plain_fingerprint(t, width) for _, t in rows], bits)
+    kept = {}
+    for (i, _), root in zip(rows, roots):
+        kept[root] = min((i is None, i or 0), kept.get(root, (True, 1 << 62)))
+    return Counter(None if none else i for none, i in kept.values())
+
+
 def test_one_of_each(spark):
-    """Copies with few words changed go, others stay; ties and repeated rows leave one."""
+    """Copies within the bits go by whatever chain, others stay; ties and repeated rows leave one."""
     rng = random.Random(8)
     words = ["".join(rng.choice("abcdefghijk") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
-    texts, expected = [], set()
+    texts = []
     for k in range(12):
         base = [rng.choice(words) for _ in range(400)]
-        expected.add(len(texts))
         texts.append(" ".join(base))
-        for _ in range(3):
-            copy = list(base)
-            copy[rng.randrange(400)] = "changed"
-            texts.append(" ".join(copy))
-    rows = spark.createDataFrame([*enumerate(texts), (0, texts[0])], "doc_id long, text string").withColumn("n_chars", F.lit(None).cast("long"))
-    kept = simhash.one_of_each(rows)
-    assert kept.columns == rows.columns and sorted(r.doc_id for r in kept.collect()) == sorted(expected)
+        for _ in range(8):
+            base[rng.randrange(400)] = "changed"
+            texts.append(" ".join(base))
+    rows = [*enumerate(texts), (0, texts[0]), (None, texts[20]), (None, "alone " * 30), (500, None), (501, " ")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("a.b", F.lit(None).cast("long")).withColumn("__row", F.lit(1))
+    kept = simhash.one_of_each(frame)
+    answer = kept_by_hand(rows)
+    assert kept.columns == frame.columns and Counter(r.doc_id for r in kept.collect()) == answer
+    assert 20 < sum(answer.values()) < len(rows) - 20
+    wider = simhash.one_of_each(frame, 5, 6, run_limit=4)
+    assert Counter(r.doc_id for r in wider.collect()).keys() >= kept_by_hand(rows, 5, 6).keys()
     edges = simhash.one_of_each(edge_rows(spark))
-    # Of the rows without an id one is a near copy of document 1 and one as blank as document 2.
-    assert Counter(r.doc_id for r in edges.collect()) == Counter({1: 1, 2: 1, 5: 2, 6: 1, 7: 1, 8: 1, 9: 1})
+    assert Counter(r.doc_id for r in edges.collect()) == kept_by_hand(TEXTS)
     assert simhash.one_of_each(edge_rows(spark).limit(0)).collect() == []
 
 
-def test_near_copies_of_the_table(spark):
-    """Recall of pairs with a similarity of 0.8 or more; nothing below 0.5 is joined."""
-    rows = [r for r in read(spark).select("doc_id", "text").collect()]
-    label = {r.doc_id: r["class"] for r in simhash.near_copy_classes(read(spark)).collect()}
-    shingles = {}
-    for r in rows:
-        w = r.text.lower().split()
-        shingles[r.doc_id] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
-    pairs = caught = 0
-    best = Counter()
-    for i, a in enumerate(rows):
-        for b in rows[:i]:
-            s, t = shingles[a.doc_id], shingles[b.doc_id]
-            j = len(s & t) / len(s | t)
-            same = label[a.doc_id] == label[b.doc_id]
-            pairs, caught = pairs + (j >= 0.8), caught + (j >= 0.8 and same)
-            if same:
-                best[a.doc_id], best[b.doc_id] = max(best[a.doc_id], j), max(best[b.doc_id], j)
-    assert caught >= 0.9 * pairs and all(j >= 0.6 for j in best.values())
-
-
-def test_sketch_estimates():
-    rng = random.Random(1)
-    base = [b"%d" % rng.randrange(10**6) for _ in range(1500)]
-    for changes in (0, 20, 60, 200):
-        other = list(base)
-        for i in rng.sample(range(1500), changes):
-            other[i] = b"new"
-        a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (base, other))
-        x, y = (np.frombuffer(simhash.shingle_sketch(w), dtype=np.uint16) for w in (base, other))
-        assert abs((x == y).mean() - len(a & b) / len(a | b)) < 0.15
-
-
-def plain_similar_classes(texts):
-    """Classes of all pairs with a Jaccard similarity of 0.8 or more of their five-word shingles."""
-    sets = []
-    for text in texts:
-        w = text.lower().split()
-        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
-    label = list(range(len(sets)))
-    for i, s in enumerate(sets):
-        for j in range(i):
-            if label[i] != label[j] and len(s & sets[j]) >= 0.8 * len(s | sets[j]):
-                old, new = max(label[i], label[j]), min(label[i], label[j])
-                label = [new if x == old else x for x in label]
-    return label
-
-
-def form_letters():
-    """Letters of the same words: in the order of their own, or of one template with slots; some have real copies."""
-    rng = random.Random(12)
-    words = ["".join(rng.choice("abcdefghijk") for _ in range(rng.randint(3, 9))) for _ in range(200)]
-    texts = []
-    for family in range(2):
-        body = words[100 * family : 100 * family + 100]
-        for _ in range(60):
-            texts.append(" ".join(rng.sample(body, 100)))
-        slots = range(0, 100, 14)
-        for _ in range(80):
-            texts.append(" ".join(f"{w} {rng.randrange(10**9)}" if i in slots else w for i, w in enumerate(body)))
-    for text in rng.sample(texts, 70):
-        for _ in range(2):
-            copy = text.split()
-            copy[rng.randrange(len(copy))] = "changed"
-            texts.append(" ".join(copy))
-    rng.shuffle(texts)
-    return texts
-
-
-def test_form_letters(spark):
-    """Form letters against brute force, also where bands and groups are crowded."""
-    texts = form_letters()
-    roots = plain_similar_classes(texts)
-    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for limit in (simhash.RUN_LIMIT, 20):
-        found = {r.doc_id: r["class"] for r in simhash.near_copy_classes(rows, run_limit=limit).collect()}
-        pairs = {(found[i], root) for i, root in enumerate(roots)}
-        assert len(pairs) == len({f for f, _ in pairs}) == len({r for _, r in pairs}) > 200
+def test_one_of_each_of_the_table(spark):
+    rows = [(r.doc_id, r.text) for r in read(spark).collect()]
+    assert Counter(r.doc_id for r in simhash.one_of_each(read(spark)).collect()) == kept_by_hand(rows)
+    classes = {r.component_id for r in simhash.components(read(spark)).collect()}
+    assert {r.doc_id for r in simhash.one_of_each(read(spark)).collect()} == classes

@@ -66,7 +66,7 @@ def test_few_words(spark, monkeypatch, part, span, anchor):
 
 def test_edges(spark):
     rows = TEXTS + [(90, TEXTS[0][1] * 3), (91, TEXTS[0][1] * 3), (None, TEXTS[0][1] * 3), (92, "long " * 200_000), (93, "Long " * 300_000)]
-    docs = edge_rows(spark, rows).withColumnRenamed("h", "a.b").withColumnRenamed("fp", "__x").withColumnRenamed("label", "anchor")
+    docs = edge_rows(spark, rows).withColumnRenamed("label", "anchor")
     check(rows, word_repeats.without_repeats(docs).collect())
     assert word_repeats.without_repeats(docs.limit(0)).collect() == []
 
