@@ -43,7 +43,7 @@ MORE = (
     Rule("chat", re.compile(r"\bxox[abprs]-[A-Za-z0-9-]{10,}")),
     Rule("payment", re.compile(r"\b(?:sk|rk)_(?:live|test)_[A-Za-z0-9]{16,}\b")),
     Rule("map_key", re.compile(r"\bAIza[A-Za-z0-9_-]{35}")),
-    Rule("url_login", re.compile(r"[a-z][a-z0-9+.-]*://[^\s:/@]+:[^\s:/@]+@[^\s/]+")),
+    Rule("url_login", re.compile(r"[a-z][a-z0-9+.-]{0,30}://[^\s:/@]+:[^\s:/@]+@[^\s/]+")),
     Rule("bearer", re.compile(r"\bBearer\x20+[A-Za-z0-9+/_.=-]{20,}")),
 )
 

@@ -23,7 +23,9 @@ from kolumna.llm.common import map_batches, sealed
 FIT_PAGES, FIT_CHARS = 400, 200_000
 
 # Elements by their role.
-HIDDEN = {"script", "style", "noscript", "template", "head", "svg", "iframe", "object", "canvas", "math", "audio", "video"}
+HIDDEN = {"script", "style", "noscript", "template", "head", "svg", "iframe", "object", "canvas", "audio", "video"}
+#: Of the hidden elements those that markup cannot end: without their end tag the rest of the page is theirs.
+RAW = {"script", "style"}
 ASIDE = {"nav", "header", "footer", "aside", "form", "button", "select", "textarea", "dialog", "menu"}
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "br", "caption", "center", "dd", "details", "dialog", "dir", "div",
@@ -41,14 +43,18 @@ CLOSED_BY = {
 }
 #: Words in class, id or role of an element that is not part of the article.
 ASIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|copyright|disqus|footer|header|masthead|menu\w*|"
+    r"(?:^|[\s_-])(ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|copyright|disqus|footer|header|masthead|menu\w*|"
     r"modal|nav|navbar|navigation|newsletter|notices?|popup|promo\w*|related|replies|share|sharing|sidebar\w*|social|sponsor\w*|"
     r"subscribe|toolbar|widget\w*|complementary|contentinfo|alert\w*|login|signup|search\w*|pagination|pager|tags)(?=$|[\s_\d-])",
     re.IGNORECASE,
 )
+#: Of these words, those of reader comments count however long the element is, and those that sections of an article
+#: bear as well count within one for elements that are mostly links only.
+COMMENT_NAMES = {"comment", "comments", "commentlist", "disqus", "replies"}
+SECTION_NAMES = {"header", "masthead", "banner", "related", "notice", "notices", "tags", "share", "search", "widget", "alert"}
 ARTICLE_NAMES = re.compile(r"itemprop\s*=\s*[\"']?articleBody|role\s*=\s*[\"']?main\b", re.IGNORECASE)
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.DOTALL)
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"(?=[\s/>])|=\s*'[^']*'(?=[\s/>])|[^>])*)(?:>|$)", re.DOTALL)
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
 
@@ -63,9 +69,12 @@ class Block(NamedTuple):
 
 
 def blocks(page: str) -> list[Block]:
-    """Text blocks of a page in order; hidden elements, comments and markup are left out."""
-    found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, outside, inside
+    """Text blocks of a page in order; hidden elements, comments and markup are left out.
+
+    A quote in a tag opens a value only behind an equals sign, and only if its closing quote ends the value.
+    """
+    found: list[tuple[Block, tuple[Named, ...]]] = []
+    stack: list[tuple[str, bool, bool, tuple[Named, ...]]] = []  # element, outside, inside, named elements around
     parts: list[str] = []
     linked = 0
     tags: list[str] = []
@@ -78,9 +87,12 @@ def blocks(page: str) -> list[Block]:
         if text:
             n = text.count(" ") + 1
             share = "linked" if linked * 2 > len(text) else "plain"
-            name = next((e for e, _, _ in reversed(stack) if e in BLOCKS), "body")
-            outside, inside = stack[-1][1:] if stack else (False, False)
-            found.append(Block(text, n, f"{name} {share} {'many' if n > 10 else 'few'}", tuple(tags), outside, inside))
+            name = next((e for e, *_ in reversed(stack) if e in BLOCKS), "body")
+            outside, inside, around = stack[-1][1:] if stack else (False, False, ())
+            found.append((Block(text, n, f"{name} {share} {'many' if n > 10 else 'few'}", tuple(tags), outside, inside), around))
+            for named in around:
+                named.words += n
+                named.linked += n if share == "linked" else 0
             tags.clear()
         linked = 0
 
@@ -89,7 +101,7 @@ def blocks(page: str) -> list[Block]:
         if raw:
             text = references.unescape(raw)
             parts.append(text)
-            if any(e == "a" for e, _, _ in stack[-4:]):
+            if any(e == "a" for e, *_ in stack[-4:]):
                 linked += len(text)
 
     while at < end:
@@ -116,17 +128,43 @@ def blocks(page: str) -> list[Block]:
             close = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
             if name == "head" and (body := re.compile(r"<body\b", re.IGNORECASE).search(page, at)) and (close is None or body.start() < close.start()):
                 at = body.start()
-            else:
+            elif close or name in RAW:
                 at = close.end() if close else end
+            else:  # never closed: hidden up to the end of the element around it
+                stack.append((name, True, *(stack[-1][2:] if stack else (False, ()))))
             continue
         if name not in VOID:
-            outside, inside = stack[-1][1:] if stack else (False, False)
+            outside, inside, around = stack[-1][1:] if stack else (False, False, ())
             labels = " ".join("".join(m) for m in _NAMES.findall(attributes))
             article = name in ("article", "main") or bool(ARTICLE_NAMES.search(attributes))
-            named = name in ASIDE and not (name == "header" and inside) or bool(labels and name not in ("html", "body", "article", "main") and ASIDE_NAMES.search(labels))
-            stack.append((name, outside or named, inside or article))
+            if article:
+                for named in around:
+                    named.has_article = True
+            elif labels and name not in ("html", "body"):
+                names = {word.lower() for word in ASIDE_NAMES.findall(labels)}
+                around = (*around, Named(names, inside)) if names else around
+            stack.append((name, outside or name in ASIDE and not (name == "header" and inside), inside or article, around))
     flush()
-    return found
+    page_words = sum(b.words for b, around in found if not b.outside and not any(named.names & COMMENT_NAMES for named in around))
+    return [b._replace(outside=b.outside or any(named.is_aside(page_words) for named in around)) for b, around in found]
+
+
+class Named:
+    """An element with a class, id or role of ASIDE_NAMES: what it holds tells whether it is part of the article."""
+
+    def __init__(self, names: set[str], inside: bool) -> None:
+        self.names, self.inside = names, inside
+        self.words = self.linked = 0
+        self.has_article = False
+
+    def is_aside(self, page_words: int) -> bool:
+        if self.has_article:
+            return False
+        if self.names & COMMENT_NAMES or 2 * self.linked >= self.words:
+            return True
+        if self.inside and self.names <= SECTION_NAMES:
+            return False
+        return 2 * self.words < page_words
 
 
 class Weights(NamedTuple):
@@ -196,7 +234,8 @@ def main_text(page: str | None, weights: Weights = UNSEEN) -> str:
     for b in found:
         default = 0.3 if " plain " in b.kind else LEAST
         score = b.words * weights.words.get(b.kind, default) - sum(weights.tags.get(t, 0.1 if t in INLINE else 0.3) for t in b.tags)
-        scores.append(score if not b.outside else -abs(score))
+        # What a marked article holds is part of it, whatever its tags.
+        scores.append(-abs(score) if b.outside else max(score, LEAST) if b.inside else score)
     start, end = best_run(scores)
     # A page without any prose has no run: a marked article is taken whole then.
     run = found[start:end] if end else [b for b in found if b.inside]

@@ -59,3 +59,46 @@ def test_edges(spark):
     assert (5, " ".join(["a"] * 20_000)) in texts
     assert main_text.extract(pages.limit(0), main_text.UNSEEN).collect() == []
     assert main_text.fit(pages.limit(0)) == main_text.UNSEEN
+
+
+WORDS = " ".join(f"<p>{PROSE} Number {i}.</p>" for i in range(12))
+LINKS = "<ul>" + "".join(f"<li><a href=/{i}>Link number {i}</a></li>" for i in range(30)) + "</ul>"
+
+
+def plain_words(page):
+    return re.sub(r"\s+", " ", re.sub("<[^>]*>", " ", page)).strip()
+
+
+def test_wrappers_around_the_article():
+    """A class of page furniture on an element that holds the page does not drop it."""
+    rest = '<div class="sidebar"><p>Words beside the text.</p></div><section class="comments">' + WORDS * 2 + "</section>"
+    for wrapper in ('<div class="site has-sidebar">', '<div class="article-body search-highlight">', '<div id="header-menu">'):
+        for begin, end in (("<article>", "</article>"), ("<div>", "</div>")):
+            found = main_text.main_text(f"<body>{wrapper}{begin}{WORDS}{end}</div>{rest}</body>")
+            assert found == plain_words(WORDS), (wrapper, begin)
+
+
+def test_all_of_a_marked_article():
+    """Lists of links, closing lists and sections within an article stay, with its headline."""
+    closing = "<ul>" + "".join(f"<li>Item {i}</li>" for i in range(12)) + "</ul>"
+    parts = [
+        '<header class="entry-header"><h1>The headline</h1></header>', WORDS, LINKS, WORDS,
+        f'<section class="related-work"><h2>Related work</h2><p>{PROSE}</p></section>', closing,
+    ]
+    page = f"<body><nav>{LINKS}</nav><article>{''.join(parts)}<div class='related'>{LINKS}</div></article><footer>Imprint</footer></body>"
+    assert main_text.main_text(page) == plain_words(" ".join(parts))
+
+
+def test_broken_quotes():
+    for tag in ("<p data-x=don't>", '<p title="it>', "<p title='it>", '<p title="a > b" class=x>', "<p title=it's class='y'>", '<p data-h="<b>x</b>">'):
+        page = f"<body><article><p>{PROSE} One.</p>{tag}{PROSE} Two.</p><p>{PROSE} It's three, isn't it? \"Yes\".</p></article></body>"
+        assert main_text.main_text(page) == f'{PROSE} One. {PROSE} Two. {PROSE} It\'s three, isn\'t it? "Yes".', tag
+
+
+def test_unclosed_elements():
+    """Hidden elements without an end close with the element around them; formulas are text."""
+    for name in ("svg", "object", "canvas", "noscript", "iframe"):
+        page = f"<body><article><p>{PROSE} One.</p><div><{name}><path d=x>hidden</div><p>{PROSE} Two.</p></article></body>"
+        assert main_text.main_text(page) == f"{PROSE} One. {PROSE} Two.", name
+    page = f"<article><p>{PROSE} <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p></article>"
+    assert main_text.main_text(page) == f"{PROSE} x=1 holds."
