@@ -1,7 +1,8 @@
 """Edit and alignment scores of two short strings as folds over their characters.
 
-Each fold keeps one or two rows of the usual table as arrays. They run inside the JVM, but cost the
-product of both lengths, so they belong behind a join that has already found likely pairs.
+A row of the usual table is a set of bits, one for each character of the left string, in words of
+WORD_BITS: where the values of the row rise or fall by one. A whole row is then computed by a few
+operations on each word, so that a pair costs one length, and the other only in words.
 """
 
 from __future__ import annotations
@@ -9,61 +10,152 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Characters of the left string in a word: a sum of two words with a carry stays within a long.
+WORD_BITS = 60
+_ALL = (1 << WORD_BITS) - 1
+
 
 def _characters(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
 
-def common_subsequence_length(left: Column, right: Column) -> Column:
-    """Length of the longest common subsequence."""
-    first = F.transform(F.sequence(F.lit(0), F.length(right)), lambda _: F.lit(0))
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    def next_row(row: Column, c: Column) -> Column:
-        return F.aggregate(
-            _characters(right),
-            F.array(F.lit(0)),
-            lambda done, d: F.concat(
-                done,
-                F.array(
-                    F.when(d == c, F.get(row, F.size(done) - 1) + 1).otherwise(
-                        F.greatest(F.get(row, F.size(done)), F.element_at(done, -1))
-                    )
-                ),
-            ),
-        )
 
-    return F.when((left == "") | (right == ""), 0).otherwise(
-        F.element_at(F.aggregate(_characters(left), first, next_row), -1)
+def _masks(text: Column) -> Column:
+    """A map from (word, character) to the bits of its places in ``text``."""
+    places = F.transform(
+        _characters(text),
+        lambda c, i: F.struct(
+            F.concat(F.floor(i / WORD_BITS).cast("string"), c).alias("key"), F.call_function("shiftleft", F.lit(1).cast("long"), (i % WORD_BITS)).alias("bit")
+        ),
     )
 
+    def grouped(ordered: Column) -> Column:
+        n = F.size(ordered)
+        first = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(ordered, i)["key"] != F.get(ordered, i - 1)["key"]))
+        return _let(first, lambda starts: F.map_from_arrays(
+            F.transform(starts, lambda i: F.get(ordered, i)["key"]),
+            F.transform(starts, lambda i, k: F.aggregate(
+                F.slice(ordered, i + 1, F.coalesce(F.get(starts, k + 1), n) - i), F.lit(0).cast("long"), lambda bits, x: bits + x["bit"]
+            )),
+        ))
+
+    return _let(F.array_sort(places), grouped)
+
+
+def _words(text: Column) -> Column:
+    return F.sequence(F.lit(0), F.floor((F.length(text) - 1) / WORD_BITS).cast("int"))
+
+
+def _mask(masks: Column, word: Column, c: Column) -> Column:
+    return F.coalesce(F.try_element_at(masks, F.concat(word.cast("string"), c)), F.lit(0).cast("long"))
+
+
+def _not(bits: Column) -> Column:
+    return bits.bitwiseXOR(F.lit(_ALL))
+
+
+def _carry(total: Column) -> Column:
+    return F.shiftright(total, WORD_BITS)
+
+
+def _cut(bits: Column) -> Column:
+    return bits.bitwiseAND(F.lit(_ALL))
+
+
+def _shifted(bits: Column, carry: Column) -> Column:
+    """All bits one place up, with ``carry`` as the lowest; the highest is beyond the word."""
+    return F.shiftleft(bits, 1).bitwiseOR(carry)
+
+
+def common_subsequence_length(left: Column, right: Column) -> Column:
+    """Length of the longest common subsequence.
+
+    A bit is 0 where a row of the table rises. A character of the right string moves the lowest 1 of each run
+    of bits down to its next match, which an addition does for all runs at once.
+    """
+    def row(masks: Column, words: Column, before: Column, c: Column) -> Column:
+        def step(done: Column, word: Column) -> Column:
+            def moved(v: Column) -> Column:
+                return _let(_mask(masks, word, c), lambda m: _let(
+                    v + v.bitwiseAND(m) + done["carry"],
+                    lambda total: F.struct(
+                        F.concat(done["row"], F.array(_cut(total).bitwiseOR(v.bitwiseAND(_not(m))))).alias("row"), _carry(total).alias("carry")
+                    ),
+                ))
+
+            return _let(F.get(before, word), moved)
+
+        none = F.struct(F.array().cast("array<bigint>").alias("row"), F.lit(0).cast("long").alias("carry"))
+        return F.aggregate(words, none, step, lambda done: done["row"])
+
+    def folded(masks: Column, words: Column) -> Column:
+        start = F.transform(words, lambda _: F.lit(_ALL))
+        last = F.aggregate(_characters(right), start, lambda before, c: row(masks, words, before, c))
+        return F.aggregate(last, F.lit(0), lambda n, bits: n + F.bit_count(_not(bits)))
+
+    return F.when((left == "") | (right == ""), 0).otherwise(_let(_masks(left), lambda masks: _let(_words(left), lambda words: folded(masks, words))))
+
 
 def alignment_distance(left: Column, right: Column) -> Column:
     """Optimal string alignment: edits and swaps of neighbours, no part edited twice.
 
-    Against an empty string it is the length of the other.
+    Against an empty string it is the length of the other. ``up`` and ``down`` are the places where a column of
+    the table rises and falls, ``same`` those where its diagonal does not, ``seen`` the places of the last character.
     """
-    width = F.length(right)
-    first = F.sequence(F.lit(0), width)
-    start = F.struct(first.alias("before"), first.alias("row"), F.lit("").alias("last"), F.lit(0).alias("i"))
-
-    def next_row(state: Column, c: Column) -> Column:
-        def step(done: Column, d: Column) -> Column:
-            j = F.size(done)
-            cost = F.when(d == c, 0).otherwise(1)
-            plain = F.least(
-                F.get(state["row"], j - 1) + cost, F.element_at(done, -1) + 1, F.get(state["row"], j) + 1
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    last = (F.length(left) - 1).cast("int")
+    top = F.call_function("shiftleft", one, last % WORD_BITS)
+
+    def step(masks: Column, before: Column, c: Column, done: Column, word: Column) -> Column:
+        old = F.get(before, word)
+
+        def found(m: Column) -> Column:
+            swaps = _not(old["same"]).bitwiseAND(m)
+            swapped = _cut(_shifted(swaps, done["swap"])).bitwiseAND(old["seen"])
+            total = m.bitwiseAND(old["up"]) + old["up"] + done["add"]
+            same = _cut(total).bitwiseXOR(old["up"]).bitwiseOR(m).bitwiseOR(old["down"]).bitwiseOR(swapped)
+            return _let(F.struct(total.alias("total"), same.alias("same"), swaps.alias("swaps")), lambda x: rows(m, x))
+
+        def rows(m: Column, x: Column) -> Column:
+            rises = old["down"].bitwiseOR(_not(x["same"].bitwiseOR(old["up"])))
+            falls = x["same"].bitwiseAND(old["up"])
+            return _let(F.struct(rises.alias("rises"), falls.alias("falls")), lambda y: out(m, x, y))
+
+        def out(m: Column, x: Column, y: Column) -> Column:
+            rises, falls = _shifted(y["rises"], done["rise"]), _shifted(y["falls"], done["fall"])
+            is_last = word == F.floor(last / WORD_BITS)
+            change = F.when(is_last & (y["rises"].bitwiseAND(top) != 0), 1).when(is_last & (y["falls"].bitwiseAND(top) != 0), -1).otherwise(0)
+            columns = F.struct(
+                _cut(falls).bitwiseOR(_not(x["same"].bitwiseOR(_cut(rises)))).alias("up"), _cut(rises).bitwiseAND(x["same"]).alias("down"),
+                x["same"].alias("same"), m.alias("seen"),
             )
-            swapped = (
-                (state["i"] > 0) & (j > 1) & (state["last"] == d) & (c == F.substring(right, j - 1, F.lit(1)))
+            return F.struct(
+                F.concat(done["row"], F.array(columns)).alias("row"), (done["distance"] + change).alias("distance"), _carry(x["total"]).alias("add"),
+                F.shiftright(x["swaps"], WORD_BITS - 1).alias("swap"), _carry(rises).alias("rise"), _carry(falls).alias("fall"),
             )
-            best = F.when(swapped, F.least(plain, F.get(state["before"], j - 2) + cost)).otherwise(plain)
-            return F.concat(done, F.array(best))
 
-        row = F.aggregate(_characters(right), F.array(state["i"] + 1), step)
-        return F.struct(state["row"].alias("before"), row.alias("row"), c.alias("last"), (state["i"] + 1).alias("i"))
+        return _let(_mask(masks, word, c), found)
+
+    def next_row(masks: Column, words: Column, state: Column, c: Column) -> Column:
+        empty = F.filter(state["row"], lambda _: F.lit(False))
+        begin = F.struct(
+            empty.alias("row"), state["distance"].alias("distance"), zero.alias("add"), zero.alias("swap"), one.alias("rise"), zero.alias("fall")
+        )
+        return F.aggregate(
+            words, begin, lambda done, word: step(masks, state["row"], c, done, word), lambda done: F.struct(done["row"].alias("row"), done["distance"].alias("distance"))
+        )
+
+    def folded(masks: Column, words: Column) -> Column:
+        columns = F.transform(words, lambda _: F.struct(F.lit(_ALL).alias("up"), zero.alias("down"), zero.alias("same"), zero.alias("seen")))
+        start = F.struct(columns.alias("row"), F.length(left).alias("distance"))
+        return F.aggregate(_characters(right), start, lambda state, c: next_row(masks, words, state, c), lambda state: state["distance"])
 
-    folded = F.aggregate(_characters(left), start, next_row, lambda s: F.element_at(s["row"], -1))
-    return F.when(left == "", width).when(right == "", F.length(left)).otherwise(folded)
+    scored = _let(_masks(left), lambda masks: _let(_words(left), lambda words: folded(masks, words)))
+    return F.when(left == "", F.length(right)).when(right == "", F.length(left)).otherwise(scored)
 
 
 # From which Jaro similarity on a common prefix counts, and its largest weight.

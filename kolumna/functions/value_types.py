@@ -82,18 +82,29 @@ def date_part(text: Column) -> Column:
     return F.trim(F.regexp_extract(tidy, part, 0))
 
 
-def _parsed(part: Column, pattern: str) -> Column:
-    """Month first, or day first where there is no such month; two-digit years as people mean them."""
-    tried = [F.try_to_timestamp(part, F.lit(pattern))]
+def order_vote(text: Column) -> Column:
+    """1 if a date can only be read day first, -1 if only month first, 0 if it does not tell."""
+    def vote(part: Column) -> Column:
+        first, second = (F.regexp_extract(part, r"^(\d{1,2})[/.-](\d{1,2})[/.-]\d{2}", i).try_cast("int") for i in (1, 2))
+        day, month = (first > 12) & (second <= 12), (second > 12) & (first <= 12)
+        return F.when(day, 1).when(month, -1).otherwise(0)
+
+    return once(date_part(text), vote)
+
+
+def _parsed(part: Column, pattern: str, day_first: Column | None) -> Column:
+    """Month first, or with ``day_first`` the day, and the other order where there is no such month; two-digit years
+    as people mean them."""
+    value = F.try_to_timestamp(part, F.lit(pattern))
     if pattern[:1] == "M" and pattern[1:4] in ("/d/", "-d-", ".d."):
-        tried.append(F.try_to_timestamp(part, F.lit("d" + pattern[1] + "M" + pattern[3:])))
-    value = F.coalesce(*tried)
+        other = F.try_to_timestamp(part, F.lit("d" + pattern[1] + "M" + pattern[3:]))
+        value = F.coalesce(value, other) if day_first is None else F.when(day_first, F.coalesce(other, value)).otherwise(F.coalesce(value, other))
     if "yyyy" in pattern:
         return value
     return once(value, lambda v: F.when(F.year(v) >= PIVOT_YEAR, v - F.expr("interval 100 years")).otherwise(v))
 
 
-def read_date(part: Column) -> Column:
+def read_date(part: Column, day_first: Column | None = None) -> Column:
     """Read a date-shaped part: its shape picks the one pattern that is tried."""
     chosen = F.when(part == "", F.lit(None).cast("timestamp"))
     for shape, pattern in DATE_SHAPES + DIGIT_SHAPES:
@@ -101,7 +112,7 @@ def read_date(part: Column) -> Column:
         value = (
             F.replace(part, F.lit("t"), F.lit(" ")).try_cast("timestamp")
             if pattern == ISO
-            else _parsed(part, pattern)
+            else _parsed(part, pattern, day_first)
         )
         chosen = chosen.when(part.rlike(whole), value)
     return chosen
@@ -116,10 +127,10 @@ def once(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def date(text: Column) -> Column:
+def date(text: Column, day_first: Column | None = None) -> Column:
     """The moment a text names, or null. Plain ISO text takes the short way."""
     iso = text.rlike(r"^\d{4}-\d{2}-\d{2}(?: \d{2}:\d{2}:\d{2}(?:\.\d{1,9})?)?$")
-    return F.when(iso, text.try_cast("timestamp")).otherwise(once(date_part(text), read_date))
+    return F.when(iso, text.try_cast("timestamp")).otherwise(once(date_part(text), lambda part: read_date(part, day_first)))
 
 
 def in_years(moment: Column, first_year: int, last_year: int) -> Column:

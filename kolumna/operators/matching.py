@@ -4,7 +4,8 @@ Strings come as rows with any key columns and a string column; the reference set
 (s_type, target, type_order, target_order), see ``reference``. Distances are only computed where a
 string and a target share a shingle: all others are 1, which needs no pair.
 
-Every step keeps the rows where the first shuffle on the key put them; the reference set is
+Strings and targets go by numbers while shingles are joined and counted; texts come back at the end. Every
+step keeps the rows where the first shuffle on the number put them; the reference set is
 broadcast after a check of its size and joined by shuffle beyond it.
 """
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from kolumna.functions.text import normal_forms, shingle_set
 from kolumna.operators.steps import computed
+from kolumna.session import written
 
 SHINGLE = 3
 # How much a distance counts at each stage, from the raw text to the most general form.
@@ -45,22 +47,26 @@ def _by_stage(rows: DataFrame, text: str, keep: list[str], stages: int) -> DataF
     return computed(staged, tokens=_tokens(F.col("form"))).withColumn("size", F.size("tokens") - 1)
 
 
-def _similar(
-    rows: DataFrame, refs: DataFrame, keys: list[str], group: list[str], stages: int, allowed: str | None = None
-) -> DataFrame:
-    """(keys, stage, s_type, target, …, distance) of all strings and targets that share a token.
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with a number each: texts and keys stay here, and only numbers go with the shingles."""
+    return written(rows.withColumn("_id", F.monotonically_increasing_id()), "strings")
+
+
+def _similar(rows: DataFrame, refs: DataFrame, group: list[str], stages: int, allowed: str | None = None) -> DataFrame:
+    """(_id, stage, type_order, target_order, distance) of all strings and targets that share a token.
 
     A string keeps one row with a null type at each stage at which it shares nothing. ``rows`` has
-    one row per key, with ``text``; ``group`` are keys that the reference set has too.
+    one row per number, with ``text``; ``group`` are keys that the reference set has too. Targets go by
+    their place in the reference set.
     """
     marker = "=" * (SHINGLE + 1)
-    mine = _by_stage(rows, "text", rows.columns, stages).select(
-        *rows.columns, "stage", F.col("size").alias("size0"), F.explode_outer("tokens").alias("token")
-    )
-    fields = [c for c in refs.columns if c not in group]
+    kept = ["_id", *group, *([allowed] if allowed else [])]
+    mine = _by_stage(rows, "text", kept, stages).select(*kept, "stage", F.col("size").alias("size0"), F.explode_outer("tokens").alias("token"))
     theirs = _by_stage(refs, "target", refs.columns, stages).select(
         *[F.col(c).alias(f"ref_{c}") for c in group],
-        *fields,
+        "type_order",
+        "target_order",
+        *(["s_type"] if allowed else []),
         F.col("stage").alias("ref_stage"),
         F.col("size").alias("size1"),
         F.explode("tokens").alias("ref_token"),
@@ -73,7 +79,7 @@ def _similar(
     met = mine.join(theirs, meets, "left")
     whole = F.col("token").startswith(marker) & (F.length("token") >= len(marker))
     carried = [F.first(allowed).alias(allowed)] if allowed else []
-    pairs = met.groupBy(*keys, "stage", "s_type", "type_order", "target", "target_order").agg(
+    pairs = met.groupBy("_id", "stage", "type_order", "target_order").agg(
         F.max("size0").alias("size0"),
         F.max("size1").alias("size1"),
         F.sum(F.when(whole, 0).otherwise(1)).alias("common"),
@@ -82,10 +88,22 @@ def _similar(
     )
     union = F.col("size0") + F.col("size1") - F.col("common")
     similarity = F.when(F.col("equal"), 1.0).when(F.col("common") == 0, 0.0).otherwise(F.col("common") / union)
-    found = computed(pairs, distance=F.when(F.col("s_type").isNotNull(), 1.0 - similarity))
+    found = computed(pairs, distance=F.when(F.col("type_order").isNotNull(), 1.0 - similarity))
     return found.drop("size0", "size1", "common", "equal")
 
 
+def _named(best: DataFrame, rows: DataFrame, refs: DataFrame, group: list[str]) -> DataFrame:
+    """``best`` with the keys of its strings, and the type and target by their place, null where it has none."""
+    targets = refs.select(
+        *[F.col(c).alias(f"ref_{c}") for c in group], F.col("type_order").alias("ref_type"), F.col("target_order").alias("ref_target"),
+        F.col("s_type").alias("found_type"), F.col("target").alias("found_target"),
+    )
+    same = (F.col("type_order") == F.col("ref_type")) & (F.col("target_order") == F.col("ref_target"))
+    for c in group:
+        same = same & (F.col(c) == F.col(f"ref_{c}"))
+    return rows.join(best, "_id").join(targets, same, "left")
+
+
 def _weight(stage: Column) -> Column:
     return F.get(F.array(*[F.lit(w) for w in STAGE_WEIGHTS]), stage)
 
@@ -111,13 +129,11 @@ def nearest(rows: DataFrame, refs: DataFrame, keys: list[str], group: list[str]
     first one, at distance 1. With ``group``, strings meet the targets of their own group only.
     """
     group = group or []
-    order = F.struct(F.round("distance", DIGITS_KEPT).alias("d"), "type_order", "target_order")
-    hit = F.col("s_type").isNotNull()
-    found = _similar(rows, refs, keys, group, stages).groupBy(*keys, "stage").agg(
-        F.min_by(F.when(hit, F.struct("s_type", "target", "distance")), F.when(hit, order)).alias("m")
-    )
-    found = found.select(*keys, "stage", "m.s_type", "m.target", F.coalesce("m.distance", F.lit(1.0)).alias("distance"))
-    best = _staged(found, keys, F.col("distance") * _weight(F.col("stage")))
+    rows = _numbered(rows.select(*dict.fromkeys([*keys, *group, "text"])))
+    hit = F.struct(F.round("distance", DIGITS_KEPT).alias("near"), "type_order", "target_order", "distance")
+    found = _similar(rows, refs, group, stages).groupBy("_id", "stage").agg(F.min(F.when(F.col("type_order").isNotNull(), hit)).alias("m"))
+    found = found.select("_id", "stage", "m.type_order", "m.target_order", F.coalesce("m.distance", F.lit(1.0)).alias("distance"))
+    best = _named(_staged(found, ["_id"], F.col("distance") * _weight(F.col("stage"))), rows, refs, group)
     first = F.min_by(F.struct("s_type", "target"), F.struct("type_order", "target_order")).alias("first")
     if group:
         best = best.join(refs.groupBy(*group).agg(first), group)
@@ -125,8 +141,8 @@ def nearest(rows: DataFrame, refs: DataFrame, keys: list[str], group: list[str]
         best = best.withColumn("first", refs.agg(first).scalar())
     return best.select(
         *keys,
-        F.coalesce("s_type", "first.s_type").alias("s_type"),
-        F.coalesce("target", "first.target").alias("target"),
+        F.coalesce("found_type", "first.s_type").alias("s_type"),
+        F.coalesce("found_target", "first.target").alias("target"),
         "distance",
         "adjusted",
         "stage",
@@ -198,23 +214,24 @@ def best_types(
     types to consider; null means all. Distances are summed over targets that share a shingle only:
     each of the others adds 1. Types that no target brings up are ranked by their size.
     """
+    rows = _numbered(rows.select(*dict.fromkeys([*keys, "text", *([allowed] if allowed else [])])))
     order = F.struct(F.round("distance", DIGITS_KEPT).alias("d"), "target_order")
     carried = [F.first(allowed).alias(allowed)] if allowed else []
-    per_type = _similar(rows, refs, keys, [], stages, allowed).groupBy(*keys, "stage", "s_type", "type_order").agg(
+    per_type = _similar(rows, refs, [], stages, allowed).groupBy("_id", "stage", "type_order").agg(
         F.sum(1 - F.col("distance")).alias("gain"),
         F.min("distance").alias("distance"),
-        F.min_by("target", order).alias("target"),
+        F.min_by("target_order", order).alias("target_order"),
         *carried,
     )
-    hit = F.when(F.col("s_type").isNotNull(), F.struct("s_type", "gain", "distance", "target"))
-    both = per_type.groupBy(*keys, "stage").agg(F.collect_list(hit).alias("hits"), *carried)
+    hit = F.when(F.col("type_order").isNotNull(), F.struct("type_order", "gain", "distance", "target_order"))
+    both = per_type.groupBy("_id", "stage").agg(F.collect_list(hit).alias("hits"), *carried)
     both = both.withColumn("types", type_sizes(refs))
     if allowed:
         considered = F.filter("types", lambda t: F.array_contains(allowed, t["s_type"]))
         both = both.withColumn("types", F.when(F.col(allowed).isNull(), F.col("types")).otherwise(considered))
 
     def scored(t: Column) -> Column:
-        hit = F.get(F.filter("hits", lambda h: h["s_type"] == t["s_type"]), F.lit(0))
+        hit = F.get(F.filter("hits", lambda h: h["type_order"] == t["type_order"]), F.lit(0))
         total = t["targets"] - F.coalesce(hit["gain"], F.lit(0.0))
         average = total / t["targets"]
         distance = F.coalesce(hit["distance"], F.lit(1.0))
@@ -224,12 +241,14 @@ def best_types(
             F.when(distance == 0, 0.0).otherwise(F.round(rank, DIGITS_KEPT)).alias("rank"),
             t["type_order"].alias("type_order"),
             t["s_type"].alias("s_type"),
-            F.coalesce(hit["target"], t["first"]).alias("target"),
+            hit["target_order"].alias("target_order"),
+            t["first"].alias("first"),
             distance.alias("distance"),
             F.when(distance == 0, 0.0).otherwise(average).alias("average"),
         )
 
     best = computed(both, m=F.array_min(F.transform("types", scored))).where(F.col("m").isNotNull())
-    stage_best = best.select(*keys, "stage", "m.s_type", "m.target", "m.distance", "m.average")
+    stage_best = best.select("_id", "stage", *[f"m.{c}" for c in ("type_order", "s_type", "target_order", "first", "distance", "average")])
     score = F.col("average") * _weight(F.col("stage")) if weighted else F.col("average")
-    return _staged(stage_best, keys, score).select(*keys, "s_type", "target", "distance", "average", "adjusted", "stage")
+    chosen = _named(_staged(stage_best, ["_id"], score), rows, refs, [])
+    return chosen.select(*keys, "s_type", F.coalesce("found_target", "first").alias("target"), "distance", "average", "adjusted", "stage")

@@ -120,10 +120,18 @@ def candidates(
     ``least(size)`` is the smallest ``enough`` over all partners. With ``right`` None a table is
     joined with itself, each pair once. Sizes and positions rule out most pairs inside the join.
     """
-    def prepared(df: DataFrame) -> DataFrame:
-        return computed(df, tokens=tokens(F.col("value"))).select("id", "tokens")
+    return token_candidates([token_sets(side, tokens) for side in (left, right) if side is not None], enough, least, buckets)
 
-    sides = [prepared(left)] + ([] if right is None else [prepared(right)])
+
+def token_sets(df: DataFrame, tokens: Callable[[Column], Column]) -> DataFrame:
+    """(id, tokens) of strings."""
+    return computed(df, tokens=tokens(F.col("value"))).select("id", "tokens")
+
+
+def token_candidates(
+    sides: list[DataFrame], enough: Callable[[Column, Column], Column], least: Callable[[Column], Column], buckets: int
+) -> DataFrame:
+    """``candidates`` of one or two tables of token sets; several steps read them."""
     levels = rarity(sides, buckets)
     left_side, *right_side = [_prefixes(side, levels, least, buckets) for side in sides]
     rest = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))

@@ -18,19 +18,32 @@ TYPE_KEYS = [*KEYS, "type"]
 STAMP = "MM/dd/yyyy, HH:mm:ss"
 
 
-def with_types(rows: DataFrame, first_year: int = 1850, last_year: int = 2019) -> DataFrame:
+def date_orders(rows: DataFrame) -> DataFrame:
+    """(dataset, column_name, day_first) of the columns with a date-like name: whether more of their cells can be read
+    day first only than month first only."""
+    weight = F.col("n") if "n" in rows.columns else F.lit(1)
+    dated = rows.where(vt.is_date_name(F.col("column_name")) & F.col("value").isNotNull())
+    return dated.groupBy(*KEYS).agg((F.sum(weight * vt.order_vote(F.col("value"))) > 0).alias("day_first"))
+
+
+def with_types(rows: DataFrame, first_year: int = 1850, last_year: int = 2019, order_by_column: bool = False) -> DataFrame:
     """Add ``type`` and the value read as that type.
 
     In a column with a date-like name a value is a DATE/TIME within the years, or has no type.
     Elsewhere it is REAL, else INTEGER, else TEXT. Nulls have no type. Zero is REAL when written
-    with a point. Integers beyond 38 digits have no exact ``whole`` value but a ``number``.
+    with a point. Integers beyond 38 digits have no exact ``whole`` value but a ``number``
+    (``long_integers`` has exact figures). Dates such as 03/04/2015 are read month first, 13/04/2015 day first;
+    with ``order_by_column`` a column's cells vote on one order for all that can be read both ways.
     """
     if "n" not in rows.columns:
         rows = rows.withColumn("n", F.lit(1).cast("bigint"))
     value = F.col("value")
     plain = vt.plain_number(value)
     date_name = vt.is_date_name(F.col("column_name"))
-    dated = computed(rows, moment=F.when(date_name, vt.date(value)))
+    if order_by_column:
+        rows = rows.join(date_orders(rows), KEYS, "left")
+    day_first = F.coalesce("day_first", F.lit(False)) if order_by_column else None
+    dated = computed(rows, moment=F.when(date_name, vt.date(value, day_first)))
     kind = (
         F.when(value.isNull(), None)
         .when(date_name, F.when(vt.in_years(F.col("moment"), first_year, last_year), vt.DATE))

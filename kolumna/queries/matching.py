@@ -10,6 +10,7 @@ from kolumna.functions import text as tx
 from kolumna.operators import cells as c
 from kolumna.operators import evaluation as ev
 from kolumna.operators import matching as m
+from kolumna.operators import nearest_search
 from kolumna.operators import reference_sets as rs
 from kolumna.operators import semantics as sem
 from kolumna.plans import semantic_typing
@@ -107,6 +108,26 @@ def nearest(spark, sf):
     return rounded(m.nearest(part_values(spark, sf), value_refs(spark, sf), ["value"]), "distance", "adjusted")
 
 
+def customer_refs(spark, sf):
+    """A reference set that grows with the data: all customers, by segment."""
+    return written(m.reference(table(spark, sf, "customer"), "c_mktsegment", "c_name"), "customers")
+
+
+def nearest_customer(spark, sf):
+    """Each supplier's name in another spelling and its nearest customer."""
+    names = table(spark, sf, "supplier").selectExpr("replace(s_name, '#000', '-') as value").distinct().withColumn("text", F.col("value"))
+    return rounded(nearest_search.nearest(names, customer_refs(spark, sf), ["value"]), "distance", "adjusted")
+
+
+def nearest_bounded(spark, sf):
+    return rounded(nearest_search.nearest(part_values(spark, sf), value_refs(spark, sf), ["value"]), "distance", "adjusted")
+
+
+def grown_until_still(spark, sf):
+    """The reference set grown by part and segment names until they add nothing."""
+    return sem.grown_until_still(part_values(spark, sf), value_refs(spark, sf)).select("s_type", "target", "target_order")
+
+
 def best_types(**options):
     def query(spark, sf):
         found = m.best_types(part_values(spark, sf), value_refs(spark, sf), ["value"], **options)
@@ -235,6 +256,9 @@ QUERIES = {
     "nearest_containing": lambda spark, sf: rounded(
         m.nearest_containing(part_values(spark, sf), value_refs(spark, sf), ["value"]), "distance", "adjusted"
     ),
+    "nearest_bounded": nearest_bounded,
+    "nearest_customer": nearest_customer,
+    "grown_until_still": grown_until_still,
     "best_types": best_types(),
     "best_types_by_average": best_types(by="avg", weighted=True),
     "column_types": lambda spark, sf: semantic_typing.column_types(
@@ -451,6 +475,11 @@ SQL = {
         PART_DISTANCES, "value", "value <> target, round(distance, 12), s_type, ord",
         "where contains(f0, f1) or contains(f1, f0)",
     ),
+    "nearest_bounded": nearest_sql(PART_DISTANCES, "value"),
+    "nearest_customer": nearest_sql(distances_sql(
+        "(select distinct replace(s_name, '#000', '-') as value from supplier)",
+        """(select c_mktsegment as s_type, c_name as target,
+            row_number() over (partition by c_mktsegment order by c_name) as ord from customer)"""), "value"),
     "best_types": best_types_sql(PART_DISTANCES, "value"),
     "best_types_by_average": best_types_sql(PART_DISTANCES, "value", by="mean", score=f"average * {WEIGHT}"),
     "column_types": f"select * from {COLUMN_TYPES}",

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from kolumna.operators import cells as c
 from kolumna.operators import itemsets, metadata, profile
+from kolumna.operators.long_integers import long_integer_stats
 from kolumna.plans import profile_report
-from kolumna.queries.data import cells_sql, dataset, dataset_cells, frequencies_sql
+from kolumna.queries.data import cells_sql, dataset, dataset_cells, frequencies_sql, table
 
 TYPED = ("customer", "part", "orders", "events", "messy")
 SMALL = ("nation", "customer", "part", "orders", "messy")
@@ -76,7 +77,25 @@ def number_stats(stats):
                         F.col("min_value").cast("double").alias("min_value"), *rounded("mean", "stddev"))
 
 
+def ordered_dates(spark, sf):
+    """Order days as written in two countries: each column is read in its own order."""
+    days = table(spark, sf, "orders").selectExpr("date_format(o_orderdate, 'M/d/yyyy') as us_date", "date_format(o_orderdate, 'd/M/yyyy') as eu_date")
+    return profile.date_stats(profile.with_types(c.value_frequencies(c.cells(days, "orders")), order_by_column=True))
+
+
+def long_integers(spark, sf):
+    """Extremes of numbers of about 60 digits made from orders."""
+    rows = table(spark, sf, "orders").selectExpr(f"{LONG_NUMBER} as long_number")
+    found = long_integer_stats(profile.with_types(c.value_frequencies(c.cells(rows, "orders"))))
+    return found.drop("total", "mean")
+
+
+LONG_NUMBER = """concat(case when o_orderkey % 3 = 0 then '-' else '' end, cast(o_custkey + 1 as string),
+    repeat('0123456789', 5), lpad(cast(o_orderkey as string), 9, '0'))"""
+
 QUERIES = {
+    "ordered_dates": ordered_dates,
+    "long_integers": long_integers,
     "cells": lambda spark, sf: dataset_cells(spark, sf, *SMALL),
     "one_column": lambda spark, sf: dataset_cells(
         spark, sf, "customer", columns={"customer": ["c_mktsegment"]}
@@ -185,6 +204,17 @@ TEXT_EXTREMES = f"""select dataset, column_name,
       group by all"""
 
 SQL = {
+    "ordered_dates": " union all ".join(
+        f"""select 'orders' as dataset, '{name}' as column_name, count(*) as count,
+            strftime(max(day), '%m/%d/%Y, 00:00:00') as max_value, strftime(min(day), '%m/%d/%Y, 00:00:00') as min_value
+          from (select cast(o_orderdate as date) as day from orders) where year(day) between 1850 and 2019"""
+        for name in ("us_date", "eu_date")
+    ),
+    "long_integers": f"""select 'orders' as dataset, 'long_number' as column_name, count(*) as count, arg_max(v, key) as max_value,
+        arg_min(v, key) as min_value
+      from (select v, case when v like '-%' then concat('0', lpad(cast(999 - length(v) as varchar), 3, '0'),
+          translate(substr(v, 2), '0123456789', '9876543210')) else concat('1', lpad(cast(length(v) as varchar), 3, '0'), v) end as key
+        from (select {LONG_NUMBER} as v from orders))""",
     "cells": cells_sql(*SMALL),
     "one_column": "select 'customer' as dataset, 'c_mktsegment' as column_name, c_mktsegment as value from customer",
     "column_names": f"select distinct dataset, column_name from ({cells_sql(*SMALL)})",

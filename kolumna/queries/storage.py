@@ -6,16 +6,23 @@ from pyspark.sql import functions as F
 
 from kolumna.operators import evaluation as ev
 from kolumna.operators import reference_sets as rs
-from kolumna.operators.cells import KEYS
-from kolumna.plans import profile_report, semantic_typing
+from kolumna.operators.cells import KEYS, value_frequencies
+from kolumna.plans import profile_report, profile_runs, semantic_typing
 from kolumna.queries import matching
-from kolumna.queries.data import dataset, dataset_cells, frequencies_sql, table
+from kolumna.queries.data import COLUMNS, MESSY, dataset, dataset_cells, frequencies_sql, table
 from kolumna.queries.profiling import QUERIES as PROFILE
 from kolumna.queries.profiling import SQL as PROFILE_SQL
 from kolumna.session import scratch_folder, written
 from kolumna.sinks import files as sinks
-from kolumna.sources import files, listed
-
+from kolumna.sources import files, listed, tables
+
+# Tables with line breaks in their cells and without.
+PLAIN = ("documents", "pages", "conversations", "messy", "supplier")
+GROUPED = [("customer", "c_nationkey", "c_nationkey"), ("supplier", "s_nationkey", "s_nationkey"), ("orders", "o_orderdate", "year(o_orderdate)")]
+JSON = {
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"], "events": ["event_id", "user_id", "event_type", "props"],
+    "messy": [c for c in MESSY if c != "nothing"], "documents": ["doc_id", "text", "lang"],
+}
 TSV = ("nation", "customer", "part", "messy", "documents", "conversations", "pages")
 
 
@@ -62,6 +69,47 @@ def tsv_frequencies(spark, sf):
     return files.tsv_frequencies(spark, paths, folder_name("file"))
 
 
+def split_frequencies(spark, sf):
+    """One plain file for each table, read by as many tasks as it has splits."""
+    folder = scratch_folder(spark, "plain")
+    for name in PLAIN:
+        sinks.write_tsv(dataset(spark, sf, name).coalesce(1), f"{folder}/{name}", "none")
+    paths = [row.path for row in files.list_files(spark, folder).where("path like '%.csv'").collect()]
+    return files.tsv_frequencies(spark, paths, folder_name("file"))
+
+
+def grouped_frequencies(spark, sf):
+    """Customers, suppliers and orders as one dataset for each key: few schemas, many datasets."""
+    folder = scratch_folder(spark, "grouped")
+    for name, key, rule in GROUPED:
+        dataset(spark, sf, name).withColumn("key", F.expr(rule)).drop(key).write.partitionBy("key").parquet(f"{folder}/{name}")
+    paths = [row.path for row in files.list_files(spark, folder).where("path like '%.parquet'").collect()]
+    place = r"([^/]+)/key=([^/]+)/[^/]*$"
+    label = lambda path: F.concat(F.regexp_extract(path, place, 1), F.lit("-"), F.regexp_extract(path, place, 2))
+    return value_frequencies(tables.file_cells(spark, paths, label))
+
+
+def json_frequencies(spark, sf):
+    """Tables as JSON records, which leave out nulls, all in one scan."""
+    folder = scratch_folder(spark, "json")
+    for name in JSON:
+        dataset(spark, sf, name).select(*JSON[name]).write.json(f"{folder}/{name}")
+    return tables.record_frequencies(spark, [f"{folder}/{name}" for name in JSON], folder_name)
+
+
+def continued_profile(spark, sf):
+    """A profile of half a table and of another one, brought up to date when the rest has come."""
+    folder, out = scratch_folder(spark, "folder"), scratch_folder(spark, "profile")
+    sinks.write_tsv(dataset(spark, sf, "nation").where("n_nationkey < 9"), f"{folder}/nation")
+    sinks.write_tsv(dataset(spark, sf, "customer"), f"{folder}/customer")
+    profile_runs.update(spark, folder, out, folder_name)
+    sinks.write_tsv(dataset(spark, sf, "nation"), f"{folder}/nation")
+    sinks.write_tsv(dataset(spark, sf, "messy"), f"{folder}/messy")
+    profile_runs.update(spark, folder, out, folder_name, batch_datasets=1, max_batches=1)
+    profile_runs.update(spark, folder, out, folder_name)
+    return shown_profile(profile_runs.profile(spark, out))
+
+
 def one_tsv(spark, sf):
     path = scratch_folder(spark, "tsv")
     sinks.write_tsv(table(spark, sf, "customer"), path)
@@ -99,7 +147,10 @@ def predictions_from_results(spark, sf):
 def profile_folder(spark, sf):
     path = scratch_folder(spark, "profile")
     sinks.write_profile(profile_report.run(dataset_cells(spark, sf, "nation", "customer", "messy")), path)
-    read = spark.read.json(path)
+    return shown_profile(spark.read.json(path))
+
+
+def shown_profile(read):
     statistic = "round(get(filter(data_types, t -> t.type = '{}'), 0).{}, 4)"
     return read.select(
         *KEYS, "number_distinct_values", "itemset", F.coalesce(F.size("data_types"), F.lit(0)).alias("types"),
@@ -144,6 +195,10 @@ def measures_file(name):
 QUERIES = {
     "dataset_files": dataset_files,
     "tsv_frequencies": tsv_frequencies,
+    "split_frequencies": split_frequencies,
+    "grouped_frequencies": grouped_frequencies,
+    "json_frequencies": json_frequencies,
+    "continued_profile": continued_profile,
     "inferred_tsv": one_tsv,
     "listed_columns": catalog,
     "reference_from_sheet": reference_from_sheet,
@@ -158,7 +213,20 @@ QUERIES = {
     "recall_file": measures_file("recall"),
 }
 
+GROUPED_SQL = " union all ".join(
+    f"""select concat('{name}-', {rule}) as dataset, '{column}' as column_name, cast({column} as varchar) as value from {name}"""
+    for name, key, rule in GROUPED for column in COLUMNS[name] if column != key
+)
+JSON_SQL = " union all ".join(
+    f"""select '{name}' as dataset, '{column}' as column_name, cast({MESSY[column] if name == "messy" else column} as varchar) as value
+        from {"orders" if name == "messy" else name}"""
+    for name, columns in JSON.items() for column in columns
+)
+
 SQL = {
+    "split_frequencies": frequencies_sql(*PLAIN),
+    "grouped_frequencies": f"select dataset, column_name, value, count(*) as n from ({GROUPED_SQL}) group by all",
+    "json_frequencies": f"select dataset, column_name, value, count(*) as n from ({JSON_SQL}) group by all",
     "dataset_files": " union all ".join(f"select '{name}' as dataset, true as filled" for name in TSV),
     "tsv_frequencies": frequencies_sql(*TSV),
     "inferred_tsv": """select c_mktsegment, cast(sum(c_nationkey) as bigint) as nations,
@@ -173,6 +241,10 @@ SQL = {
         cast(len(regexp_replace(itemset, '[A-Z]', '', 'g')) / 2 as bigint) as types, number_untyped_cells,
         typed_cells, real_mean, integer_stddev, last_date, shortest_values
       from ({PROFILE_SQL["column_records"]}) where dataset in ('nation', 'customer', 'messy')""",
+    "continued_profile": f"""select dataset, column_name, number_distinct_values, itemset,
+        cast(len(regexp_replace(itemset, '[A-Z]', '', 'g')) / 2 as bigint) as types, number_untyped_cells,
+        typed_cells, real_mean, integer_stddev, last_date, shortest_values
+      from ({PROFILE_SQL["column_records"]}) where dataset in ('nation', 'customer', 'messy')""",
     "first_files": "select 3::bigint as files, true as more, true as smallest",
     "shuffled_files": " union all ".join(f"select '{name}' as dataset, true as filled" for name in TSV),
     "itemset_tally": PROFILE_SQL["total_itemsets"],

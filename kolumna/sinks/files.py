@@ -45,6 +45,6 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.select(*flat).write.mode("overwrite").csv(path, header=True, **TEXT_OPTIONS)
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """Compressed tab-separated files, each with a header."""
-    df.write.mode("overwrite").csv(path, sep="\t", header=True, compression="gzip", **TEXT_OPTIONS)
+def write_tsv(df: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Compressed tab-separated files, each with a header; without ``compression`` ("none") many tasks can read one."""
+    df.write.mode("overwrite").csv(path, sep="\t", header=True, compression=compression, **TEXT_OPTIONS)

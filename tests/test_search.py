@@ -67,20 +67,25 @@ def forms(text):
     return [text, strip(text), lowered, re.sub("[0-9]", "*", lowered)]
 
 
+def grams_of(form):
+    return {form[j : j + 3] for j in range(len(form) - 2)}
+
+
 def plain_nearest(texts, targets):
     """By all shared shingles: (score, stage, target) of each text, and the pairs that share a shingle."""
     best, met = {}, 0
+    all_forms = [forms(target) for target in targets]
     for stage, weight in enumerate(STAGE_WEIGHTS):
         postings, sizes = defaultdict(list), []
-        for i, target in enumerate(targets):
-            grams = {forms(target)[stage][j : j + 3] for j in range(len(forms(target)[stage]) - 2)}
+        for i, target_forms in enumerate(all_forms):
+            grams = grams_of(target_forms[stage])
             sizes.append(len(grams))
             for g in grams:
                 postings[g].append(i)
         for text in texts:
             if text in best and best[text][0] == 0:
                 continue
-            grams = {forms(text)[stage][j : j + 3] for j in range(len(forms(text)[stage]) - 2)}
+            grams = grams_of(forms(text)[stage])
             common = Counter(i for g in grams for i in postings.get(g, ()))
             met += len(common)
             for i, c in common.items():

@@ -140,3 +140,46 @@ def test_headers_and_mixed_types(spark):
 def test_itemset_ties(spark):
     total = spark.createDataFrame([("a", 3), ("b", 3), ("c", 1)], "itemset string, n bigint")
     assert {r.itemset for r in itemsets.most_frequent_itemsets(total).collect()} == {"a", "b"}
+
+
+def test_long_integers(spark):
+    """Exact extremes and totals of numbers of up to 80 digits against Python's integers."""
+    import random
+
+    from kolumna.operators.cells import cells, value_frequencies
+    from kolumna.operators.long_integers import long_integer_stats
+    from kolumna.operators.profile import with_types
+
+    rng = random.Random(6)
+    columns = {"a": [], "b": [], "c": [], "d": []}
+    for _ in range(300):
+        columns["a"].append(rng.randint(-(10**60), 10**60))
+        columns["b"].append(-rng.randint(0, 10 ** rng.randint(1, 80)))
+        columns["c"].append(rng.choice([0, 7, 10**59, -(10**59), 10**59 + 1]))
+        columns["d"].append(rng.choice([5, 999999999, 1000000000, 10**17 + 3]))
+    spell = [lambda x: str(x), lambda x: f"{x:,}", lambda x: f"+{x}" if x >= 0 else f"-00{-x}", lambda x: "-0" if x == 0 else str(x)]
+    rows = [tuple(spell[i % 4](columns[name][i]) for name in columns) for i in range(300)]
+    df = spark.createDataFrame(rows, ", ".join(f"{name} string" for name in columns))
+    found = {r.column_name: r for r in long_integer_stats(with_types(value_frequencies(cells(df, "t")))).collect()}
+    for name, values in columns.items():
+        r = found[name]
+        assert (r["count"], int(r.max_value), int(r.min_value), int(r.total)) == (300, max(values), min(values), sum(values)), name
+        assert r.max_value == str(max(values)) and r.total == str(sum(values))
+        assert abs(r.mean - sum(values) / 300) <= 1e-12 * abs(sum(values) / 300)
+
+
+def test_one_date_order_for_a_column(spark):
+    from kolumna.operators.cells import cells, value_frequencies
+    from kolumna.operators.profile import date_orders, with_types
+
+    rows = [("13/04/2015", "04/13/2015", "03/04/2015"), ("03/04/2015", "03/04/2015", "03/04/2015"), ("25.12.98", "12.25.98", "x"), ("04/25/2015", "25/04/2015", None), ("31-1-2014", "1-31-2014", None)]
+    df = spark.createDataFrame(rows, "eu_date string, us_date string, any_date string")
+    frequencies = value_frequencies(cells(df, "t"))
+    assert {r.column_name: r.day_first for r in date_orders(frequencies).collect()} == {"eu_date": True, "us_date": False, "any_date": False}
+    for by_column in (False, True):
+        found = {(r.column_name, r.value): r.moment and str(r.moment.date()) for r in with_types(frequencies, order_by_column=by_column).collect()}
+        assert found["eu_date", "03/04/2015"] == ("2015-04-03" if by_column else "2015-03-04")
+        assert found["us_date", "03/04/2015"] == found["any_date", "03/04/2015"] == "2015-03-04"
+        assert found["eu_date", "13/04/2015"] == found["us_date", "04/13/2015"] == "2015-04-13"
+        assert found["eu_date", "04/25/2015"] == found["us_date", "25/04/2015"] == "2015-04-25"
+        assert found["eu_date", "25.12.98"] == found["us_date", "12.25.98"] == "1998-12-25"
