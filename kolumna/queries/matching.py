@@ -119,10 +119,6 @@ def nearest_customer(spark, sf):
     return rounded(nearest_search.nearest(names, customer_refs(spark, sf), ["value"]), "distance", "adjusted")
 
 
-def nearest_bounded(spark, sf):
-    return rounded(nearest_search.nearest(part_values(spark, sf), value_refs(spark, sf), ["value"]), "distance", "adjusted")
-
-
 def grown_until_still(spark, sf):
     """The reference set grown by part and segment names until they add nothing."""
     return sem.grown_until_still(part_values(spark, sf), value_refs(spark, sf)).select("s_type", "target", "target_order")
@@ -256,7 +252,6 @@ QUERIES = {
     "nearest_containing": lambda spark, sf: rounded(
         m.nearest_containing(part_values(spark, sf), value_refs(spark, sf), ["value"]), "distance", "adjusted"
     ),
-    "nearest_bounded": nearest_bounded,
     "nearest_customer": nearest_customer,
     "grown_until_still": grown_until_still,
     "best_types": best_types(),
@@ -475,7 +470,6 @@ SQL = {
         PART_DISTANCES, "value", "value <> target, round(distance, 12), s_type, ord",
         "where contains(f0, f1) or contains(f1, f0)",
     ),
-    "nearest_bounded": nearest_sql(PART_DISTANCES, "value"),
     "nearest_customer": nearest_sql(distances_sql(
         "(select distinct replace(s_name, '#000', '-') as value from supplier)",
         """(select c_mktsegment as s_type, c_name as target,

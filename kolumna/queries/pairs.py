@@ -57,6 +57,9 @@ QUERIES = {
     "qgram_pairs_of_short_strings": lambda spark, sf: s.qgram_pairs(
         strings(spark, sf, "documents", "doc_id", "concat(lang, source)"), k=3, max_distance=5
     ),
+    "qgram_links": lambda spark, sf: s.qgram_classes(
+        strings(spark, sf, "customer", "c_custkey", "cast(c_custkey as string)"), k=2, max_distance=4
+    ).links(),
     "levenshtein_pairs": lambda spark, sf: e.levenshtein_pairs(
         strings(spark, sf, "customer", "c_custkey", "c_name"), max_distance=1
     ).select("id0", "id1", "distance"),
@@ -163,6 +166,16 @@ SQL = {
       select a.id as id0, b.id as id1, cast(a.n + b.n - 2 * coalesce(c, 0) as bigint) as distance
       from t a join t b on a.id < b.id left join shared on a.id = id0 and b.id = id1
       where a.n + b.n - 2 * coalesce(c, 0) <= 5""",
+    "qgram_links": f"""with v as ({strings_sql("customer", "c_custkey", "cast(c_custkey as string)")}),
+        p as ({profile_sql(strings_sql("customer", "c_custkey", "cast(c_custkey as string)"), 2)}),
+        t as (select id, greatest(length(value) - 1, 0) as n from v),
+        shared as (select a.id as id0, b.id as id1, sum(least(a.n, b.n)) as c from p a join p b using (shingle)
+                   where a.id <> b.id group by all),
+        near as (select id0, count(*) as k from shared join t a on a.id = id0 join t b on b.id = id1
+                 where a.n + b.n > 4 and a.n + b.n - 2 * c <= 4 group by id0),
+        far as (select a.id, count(b.id) as m from t a left join t b on a.id <> b.id and a.n + b.n <= 4 group by a.id)
+      select t.id, cast(n as integer) as total, cast(m + coalesce(k, 0) as bigint) as links
+      from t join far on far.id = t.id left join near on id0 = t.id""",
     "levenshtein_pairs": self_sql(
         strings_sql("customer", "c_custkey", "c_name"),
         "a.id as id0, b.id as id1, levenshtein(a.value, b.value) as distance", "levenshtein(a.value, b.value) <= 1",

@@ -172,7 +172,7 @@ def test_one_date_order_for_a_column(spark):
     from kolumna.operators.cells import cells, value_frequencies
     from kolumna.operators.profile import date_orders, with_types
 
-    rows = [("13/04/2015", "04/13/2015", "03/04/2015"), ("03/04/2015", "03/04/2015", "03/04/2015"), ("25.12.98", "12.25.98", "x"), ("04/25/2015", "25/04/2015", None), ("31-1-2014", "1-31-2014", None)]
+    rows = [("13/04/2015", "04/13/2015", "03/04/2015"), ("03/04/2015", "03/04/2015", "03/04/2015"), ("25/12/98", "12/25/98", "x"), ("04/25/2015", "25/04/2015", None), ("31-1-2014", "1-31-2014", None)]
     df = spark.createDataFrame(rows, "eu_date string, us_date string, any_date string")
     frequencies = value_frequencies(cells(df, "t"))
     assert {r.column_name: r.day_first for r in date_orders(frequencies).collect()} == {"eu_date": True, "us_date": False, "any_date": False}
@@ -182,4 +182,4 @@ def test_one_date_order_for_a_column(spark):
         assert found["us_date", "03/04/2015"] == found["any_date", "03/04/2015"] == "2015-03-04"
         assert found["eu_date", "13/04/2015"] == found["us_date", "04/13/2015"] == "2015-04-13"
         assert found["eu_date", "04/25/2015"] == found["us_date", "25/04/2015"] == "2015-04-25"
-        assert found["eu_date", "25.12.98"] == found["us_date", "12.25.98"] == "1998-12-25"
+        assert found["eu_date", "25/12/98"] == found["us_date", "12/25/98"] == "1998-12-25"
