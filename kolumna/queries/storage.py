@@ -78,6 +78,21 @@ def split_frequencies(spark, sf):
     return files.tsv_frequencies(spark, paths, folder_name("file"))
 
 
+def typed_headers(spark, sf):
+    """The headers of the typed tables as their files have them."""
+    folder = scratch_folder(spark, "typed")
+    for name in matching.TYPED_DATASETS:
+        sinks.write_tsv(dataset(spark, sf, name), f"{folder}/{name}")
+    paths = [row.path for row in files.dataset_files(files.list_files(spark, folder)).collect()]
+    return tables.file_headers(spark, paths, folder_name)
+
+
+def resolved_from_files(spark, sf):
+    """Listed names and the nearest of the columns that the files have."""
+    found = rs.resolve_columns(matching.listed(spark, matching.TYPED), written(typed_headers(spark, sf), "headers"))
+    return matching.rounded(found, "distance", "adjusted")
+
+
 def grouped_frequencies(spark, sf):
     """Customers, suppliers and orders as one dataset for each key: few schemas, many datasets."""
     folder = scratch_folder(spark, "grouped")
@@ -195,6 +210,8 @@ def measures_file(name):
 QUERIES = {
     "dataset_files": dataset_files,
     "tsv_frequencies": tsv_frequencies,
+    "file_headers": typed_headers,
+    "resolved_from_files": resolved_from_files,
     "split_frequencies": split_frequencies,
     "grouped_frequencies": grouped_frequencies,
     "json_frequencies": json_frequencies,
@@ -224,6 +241,8 @@ JSON_SQL = " union all ".join(
 )
 
 SQL = {
+    "file_headers": f"select dataset, column_name, cast(position as integer) as position from {matching.headers_sql(matching.TYPED_DATASETS)}",
+    "resolved_from_files": matching.SQL["resolved_columns"],
     "split_frequencies": frequencies_sql(*PLAIN),
     "grouped_frequencies": f"select dataset, column_name, value, count(*) as n from ({GROUPED_SQL}) group by all",
     "json_frequencies": f"select dataset, column_name, value, count(*) as n from ({JSON_SQL}) group by all",

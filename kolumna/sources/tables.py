@@ -12,7 +12,7 @@ from pyspark.sql.types import StructField, StructType
 
 from kolumna.operators.cells import KEYS, quoted
 from kolumna.session import written
-from kolumna.sources.files import base_name
+from kolumna.sources.files import READ_OPTIONS, base_name
 
 
 def schema_report(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -45,6 +45,22 @@ def by_schema(spark: SparkSession, paths: Iterable[str]) -> dict[StructType, lis
     return {kind: group for kind, group in found.values()}
 
 
+def file_headers(spark: SparkSession, paths: Iterable[str], dataset: Callable[[Column], Column] = base_name, separator: str = "\t") -> DataFrame:
+    """(dataset, column_name, position) of delimited files, from their first records; many files are looked at at a time.
+
+    Files of one dataset give the columns of each once, at the first place where one of them has it. Repeated names and
+    columns without a name are called as Spark's reader does.
+    """
+    def header(path: str) -> list[tuple[str, str, int]]:
+        names = spark.read.csv(path, sep=separator, header=True, **READ_OPTIONS).columns
+        return [(path, name, i) for i, name in enumerate(names, 1)]
+
+    with ThreadPoolExecutor(LOOKS) as pool:
+        rows = [row for found in pool.map(header, paths) for row in found]
+    headers = spark.createDataFrame(rows, "path string, column_name string, position int")
+    return headers.groupBy(dataset(F.col("path")).alias("dataset"), "column_name").agg(F.min("position").alias("position"))
+
+
 def file_cells(spark: SparkSession, paths: Iterable[str], dataset: Callable[[Column], Column] = base_name) -> DataFrame:
     """The cells (dataset, column_name, value) of many Parquet files, with one scan for each schema.
 

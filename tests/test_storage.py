@@ -60,6 +60,16 @@ def test_large_files_are_reported(spark, tmp_path):
     assert {r.path for r in files.shuffled(found, 3).collect()} == {r.path for r in found.collect()}
 
 
+def test_shuffled_order(spark):
+    """The order depends on the seed and the paths, not on partitions; each path comes once."""
+    rows = spark.createDataFrame([(f"/in/{i}.tsv.gz", i) for i in range(40)], "path string, length long")
+    order = lambda df, seed: [r.path for r in files.shuffled(df, seed).collect()]
+    first = order(rows, 3)
+    assert first == order(rows.repartition(7), 3) == order(rows.coalesce(1), 3)
+    assert first != order(rows, 4) and first != [r.path for r in files.by_size(rows).collect()]
+    assert sorted(first) == sorted(r.path for r in rows.collect())
+
+
 def test_lists_as_people_write_them(spark):
     name = "frequent_values->counts_(top_10)"
     texts = ['["a->1"]', "['b->2', 'c->3']", r"['caf\xe9->4']", "['d->5', None]", "no list", None, "[]"]
