@@ -48,6 +48,10 @@ PERSON = re.compile(_PERSON)
 HINT = re.compile(rf"[0-9@]|\b(?:{MALE}|{FEMALE}|{NEUTRAL})\b|先生|女士|小姐")
 _GENDER = {**dict.fromkeys([*MALE.split("|"), "先生"], "male"), **dict.fromkeys([*FEMALE.split("|"), "女士", "小姐"], "female")}
 
+#: Kinds of the parts of a name: given names by the gender of the title before them, and the last name.
+NAME_KINDS = {"male", "female", "neutral", "family"}
+_VOTES = {"male": 1, "female": -1}
+
 # Sounds of invented names.
 _SOUNDS = {
     "latin": ("b d f g h j k l m n p r s t v w z br dr gr kl st tr".split(), "a e i o u".split(), ("n", "r", "s", "k"), ("a", "ia", "e", "ina")),
@@ -103,8 +107,13 @@ def canonical(kind: str, value: str) -> str | None:
     return digits
 
 
-def invented(kind: str, value: str, key: bytes, attempt: int) -> str:
-    """The ``attempt``-th candidate for an entity, in canonical form and of the same shape."""
+def entity_kind(kind: str) -> str:
+    """All parts of names are one kind: a name has one surrogate, whatever title or place it stands in."""
+    return "name" if kind in NAME_KINDS else kind
+
+
+def invented(kind: str, value: str, key: bytes, attempt: int, gender: str | None = None) -> str:
+    """The ``attempt``-th candidate for an entity, in canonical form and of the same shape; a name ends by ``gender``."""
     draw = Keyed(key, kind, value, str(attempt))
     alike = lambda c: str(draw.below(10)) if c.isdigit() else chr(97 + draw.below(26)) if "a" <= c <= "z" else chr(65 + draw.below(26)) if "A" <= c <= "Z" else c
     if kind == "email":
@@ -131,7 +140,7 @@ def invented(kind: str, value: str, key: bytes, attempt: int) -> str:
         return "".join(_HAN[draw.below(len(_HAN))] for _ in range(max(1, len(value)) + (attempt > 3)))
     starts, vowels, male, female = _SOUNDS[script]
     sounds = "".join(starts[draw.below(len(starts))] + vowels[draw.below(len(vowels))] for _ in range(2 + draw.below(2) + attempt // 4))
-    ends = male if kind == "male" else female if kind == "female" else male + female
+    ends = male if gender == "male" else female if gender == "female" else male + female
     return sounds + ends[draw.below(len(ends))]
 
 
@@ -185,15 +194,15 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
 
 
 def surrogate_table(known: DataFrame, key: bytes) -> DataFrame:
-    """(kind, value, surrogate) for distinct entities ``known`` (kind, value)."""
+    """(kind, value, surrogate) for distinct entities ``known`` (kind, value, gender)."""
     schema = "kind string, value string, surrogate string"
 
     def candidates(rows: DataFrame, attempt: int) -> DataFrame:
         def of(batch: pa.RecordBatch) -> dict:
-            kinds, values = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            return {"kind": kinds, "value": values, "surrogate": [invented(k, v, key, attempt) for k, v in zip(kinds, values)]}
+            kinds, values, genders = (column.to_pylist() for column in batch.columns)
+            return {"kind": kinds, "value": values, "surrogate": [invented(k, v, key, attempt, g) for k, v, g in zip(kinds, values, genders)]}
 
-        return map_batches(rows.select("kind", "value"), of, schema)
+        return map_batches(rows.select("kind", "value", "gender"), of, schema)
 
     names = known.select(F.col("kind").alias("k"), F.col("value").alias("v"))
     accepted: DataFrame | None = None
@@ -217,7 +226,8 @@ def replaced(docs: DataFrame, key: str, text_column: str = "text", n: str = "n_e
     """``docs`` with surrogates in ``text``, the number of replaced entities and their places in the
     old text (kind:start:end, code points).
 
-    Texts without an entity stay as they are, null stays null. Repeated rows and values get the same
+    A name keeps its surrogate behind any title and without one; its gender is that of most documents' titles
+    before it. Texts without an entity stay as they are, null stays null. Repeated rows and values get the same
     surrogates wherever they stand; an empty table stays empty; columns with a result's name are
     replaced. Surrogates depend on the key and the entity, and on other entities only after a collision.
     """
@@ -230,13 +240,15 @@ def replaced(docs: DataFrame, key: str, text_column: str = "text", n: str = "n_e
     row_key = F.xxhash64(*[c for c in columns if not docs.schema[c].dataType.simpleString().startswith(("map", "variant"))])
 
     def found(batch: pa.RecordBatch) -> dict:
-        rows = [(k, kind, value) for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for kind, value in {e[2:] for e in entities(text or "")}]
-        return {name: [r[i] for r in rows] for i, name in enumerate(("row", "kind", "value"))}
+        rows = [(k, entity_kind(kind), value, _VOTES.get(kind, 0)) for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for kind, value in {e[2:] for e in entities(text or "")}]
+        return {name: [r[i] for r in rows] for i, name in enumerate(("row", "kind", "value", "vote"))}
 
     keyed = docs.withColumn("__row", row_key)
-    mentions = saved(map_batches(keyed.select("__row", F.col(text_column).cast("string")), found, "row long, kind string, value string").distinct(), "mentions")
-    table = surrogate_table(saved(mentions.select("kind", "value").distinct(), "entities"), secret)
-    chosen = mentions.join(table, ["kind", "value"]).groupBy("row").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("__chosen"))
+    mentions = saved(map_batches(keyed.select("__row", F.col(text_column).cast("string")), found, "row long, kind string, value string, vote int").distinct(), "mentions")
+    votes = F.sum("vote")
+    gender = F.when(votes > 0, "male").when(votes < 0, "female").alias("gender")
+    table = surrogate_table(saved(mentions.groupBy("kind", "value").agg(gender), "entities"), secret)
+    chosen = mentions.select("row", "kind", "value").distinct().join(table, ["kind", "value"]).groupBy("row").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("__chosen"))
     joined = keyed.join(chosen.withColumnRenamed("row", "__r"), F.col("__row") == F.col("__r"), "left").select(*columns, "__chosen")
     schema = StructType([*docs.schema.fields, *StructType.fromDDL(f"`{n}` long, `{spans}` string").fields])
 
@@ -248,7 +260,7 @@ def replaced(docs: DataFrame, key: str, text_column: str = "text", n: str = "n_e
                 every = entities(text) if known else []
                 out, reach = [], 0
                 for start, end, kind, value in every:
-                    out += [text[reach:start], rendered(kind, value, text[start:end], known[kind, value])]
+                    out += [text[reach:start], rendered(kind, value, text[start:end], known[entity_kind(kind), value])]
                     reach = end
                 texts.append(text if not every else "".join(out) + text[reach:])
                 counts.append(len(every))

@@ -44,11 +44,11 @@ def test_table(spark):
 
 def test_distinct_and_consistent(spark):
     """So many entities of a small kind that candidates collide: still one surrogate for each, none of them real."""
-    known = spark.createDataFrame([("male", f"name{i}") for i in range(3000)] + [("ip4", f"240.0.0.{i}") for i in range(200)], "kind string, value string")
+    known = spark.createDataFrame([("name", f"name{i}", "male") for i in range(3000)] + [("ip4", f"240.0.0.{i}", None) for i in range(200)], "kind string, value string, gender string")
     found = surrogates.surrogate_table(known, b"k").collect()
     values, made = {(r.kind, r.value) for r in found}, {(r.kind, r.surrogate) for r in found}
     assert len(found) == len(values) == len(made) == 3200 and not values & made
-    assert Counter(surrogates.invented("male", f"name{i}", b"k", 0) for i in range(3000)).most_common(1)[0][1] > 1
+    assert Counter(surrogates.invented("name", f"name{i}", b"k", 0, "male") for i in range(3000)).most_common(1)[0][1] > 1
 
 
 def test_clean_texts_stay(spark):
@@ -60,3 +60,24 @@ def test_edges(spark):
     found = surrogates.replaced(edge_rows(spark), "key").collect()
     assert Counter((r.doc_id, r.text) for r in found) == Counter(TEXTS) and {r.n_entities for r in found} == {0}
     assert surrogates.replaced(edge_rows(spark).limit(0), "key").collect() == []
+
+
+def test_one_person_one_surrogate(spark):
+    """A name has one surrogate behind any title, as given and as last name, in all documents; genders follow most titles."""
+    letters = [
+        "Dr. John Smith called. John Smith left.", "Mr. John Smith called.", "Prof. Smith met Mr. John Adams.", "Mr. John Brown, Mrs. Anna John.",
+        "Mrs. Anna Smith and Dr. Anna Adams.", "Mx. Robin Smith", "Mrs. Robin Brown and Mrs. Robin Adams and Mr. Robin Smith",
+    ]
+    rows = spark.createDataFrame(list(enumerate(letters)), "doc_id long, text string")
+    new = {r.doc_id: r.text for r in surrogates.replaced(rows, "key").collect()}
+    made = {}
+    for i, text in enumerate(letters):
+        old_words, new_words = re.findall(r"\w+", text), re.findall(r"\w+", new[i])
+        assert len(old_words) == len(new_words)
+        for old, word in zip(old_words, new_words):
+            if old in ("John", "Smith", "Adams", "Brown", "Anna", "Robin"):
+                assert made.setdefault(old, word) == word != old
+            else:
+                assert old == word
+    assert len(set(made.values())) == len(made)
+    assert made["John"][-1] in "nrsk" and made["Anna"][-1] in "ae"
