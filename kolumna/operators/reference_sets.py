@@ -48,7 +48,11 @@ def labelled_values(sheet: DataFrame, counts: str = "frequent_values->counts_(to
 
 def unread_lists(sheet: DataFrame, counts: str = "frequent_values->counts_(top_10)") -> DataFrame:
     """The rows of a sheet whose list of values cannot be read, to be reported."""
-    return sheet.where(F.col(f"`{counts}`").isNotNull() & listed_pairs(sheet, counts).isNull())
+    return sheet.where(is_unread(sheet, counts))
+
+
+def is_unread(sheet: DataFrame, counts: str = "frequent_values->counts_(top_10)") -> Column:
+    return F.col(f"`{counts}`").isNotNull() & listed_pairs(sheet, counts).isNull()
 
 
 def reference_set(labelled: DataFrame, kind: str, k: int = 20) -> DataFrame:

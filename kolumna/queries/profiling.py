@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kolumna.operators import cells as c
 from kolumna.operators import itemsets, metadata, profile
 from kolumna.operators.long_integers import long_integer_stats
-from kolumna.plans import profile_report
+from kolumna.plans import figures, profile_report
 from kolumna.queries.data import cells_sql, dataset, dataset_cells, frequencies_sql, table
 
 TYPED = ("customer", "part", "orders", "events", "messy")
@@ -94,6 +94,7 @@ LONG_NUMBER = """concat(case when o_orderkey % 3 = 0 then '-' else '' end, cast(
     repeat('0123456789', 5), lpad(cast(o_orderkey as string), 9, '0'))"""
 
 QUERIES = {
+    "profile_figures": lambda spark, sf: figures.profile(dataset_cells(spark, sf, *SMALL))[1],
     "ordered_dates": ordered_dates,
     "long_integers": long_integers,
     "cells": lambda spark, sf: dataset_cells(spark, sf, *SMALL),
@@ -204,6 +205,12 @@ TEXT_EXTREMES = f"""select dataset, column_name,
       group by all"""
 
 SQL = {
+    "profile_figures": f"""with f as ({frequencies_sql(*SMALL)}), r as (@records)
+      select 'cells' as figure, cast(sum(n) as bigint) as value from f
+      union all select 'null_cells', cast(coalesce(sum(n) filter (value is null), 0) as bigint) from f
+      union all select 'different_values', count(value) from f
+      union all select 'columns', count(*) from r
+      union all select 'untyped_cells', cast(coalesce(sum(number_untyped_cells), 0) as bigint) from r""",
     "ordered_dates": " union all ".join(
         f"""select 'orders' as dataset, '{name}' as column_name, count(*) as count,
             strftime(max(day), '%m/%d/%Y, 00:00:00') as max_value, strftime(min(day), '%m/%d/%Y, 00:00:00') as min_value
@@ -274,3 +281,6 @@ SQL = {
         left join ({itemset_sql(*ALL)}) using (dataset, column_name)
         left join ({TEXT_EXTREMES}) using (dataset, column_name)""",
 }
+SQL["profile_figures"] = SQL["profile_figures"].replace(
+    "@records", f"""select * from ({SQL["column_records"]}) where dataset in ({", ".join(f"'{name}'" for name in SMALL)})"""
+)

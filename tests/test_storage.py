@@ -13,7 +13,7 @@ from kolumna import session
 from kolumna.functions import value_types as vt
 from kolumna.operators import reference_sets as rs
 from kolumna.operators.cells import all_cells, cells, listed_columns, value_frequencies
-from kolumna.plans import profile_report
+from kolumna.plans import figures, profile_report
 from kolumna.queries import catalog
 from kolumna.queries.data import dataset
 from kolumna.sinks import files as sinks
@@ -141,3 +141,21 @@ def test_a_cluster_needs_a_shared_folder(master, fails):
         assert "kolumna-x-" in session.scratch_folder(fake, "x")
     settings["spark.checkpoint.dir"] = "hdfs://shared/folder"
     assert session.scratch_folder(fake, "x").startswith("hdfs://shared/folder/kolumna-x-")
+
+
+def test_figures_of_one_reading(spark, tmp_path):
+    """Cells, files and sheets are counted while they are read; nothing in the results reads the source again."""
+    rows = spark.createDataFrame([("1849-01-01", "a"), ("2015-01-02", None), ("no date", "a"), (None, "b")], "some_date string, name string")
+    rows.write.parquet(str(tmp_path / "source"))
+    records, found = figures.profile(cells(spark.read.parquet(str(tmp_path / "source")), "d"))
+    assert {r.figure: r.value for r in found.collect()} == {"cells": 8, "null_cells": 2, "different_values": 5, "columns": 2, "untyped_cells": 2}
+    assert "source" not in records._jdf.queryExecution().executedPlan().toString() and records.count() == 2
+    listing = spark.createDataFrame([("a", 5), ("b", 50), ("c", 500)], "path string, length long")
+    kept, found = figures.chosen_files(listing, 100)
+    assert [r.path for r in kept.orderBy("path").collect()] == ["a", "b"]
+    assert {r.figure: r.value for r in found.collect()} == {"files": 3, "bytes": 555, "files_left_out": 1, "bytes_left_out": 500}
+    assert {r.figure: r.value for r in figures.chosen_files(listing)[1].collect()}["files_left_out"] == 0
+    name = "frequent_values->counts_(top_10)"
+    sheet = spark.createDataFrame([(str(i), "c", "L", t) for i, t in enumerate(['["a->1"]', "no list", None])], f"ds_path string, col_name_ta string, col_name string, `{name}` string")
+    values, found = figures.labelled_values(sheet)
+    assert {r.figure: r.value for r in found.collect()} == {"sheet_rows": 3, "unread_lists": 1} and values.count() == 3
