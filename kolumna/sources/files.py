@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kolumna.operators.cells import KEYS
 from kolumna.operators.steps import computed
 from kolumna.session import written
-from kolumna.sources.records import records
+from kolumna.sources.records import separators, wide_records
 
 # The index file that is no dataset, and the size in bytes from which files may be skipped.
 INDEX_FILE = "datasets.tsv.gz"
@@ -71,13 +71,13 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", header=True, inferSchema=True, **READ_OPTIONS)
 
 
-def cells_of_records(rows: DataFrame, separator: str = "\t") -> DataFrame:
+def cells_of_records(rows: DataFrame, width: int | None = None, separator: str = "\t") -> DataFrame:
     """(file, row, cells) of ``rows`` (file, row, record): an array of text for each record, an empty cell is null.
 
-    The separators of the widest record, also those inside quotes, tell how many cells there are at most.
+    No record has more than ``width`` cells, which its separators tell if it is not given.
     """
-    found = F.length("record") - F.length(F.replace("record", F.lit(separator), F.lit("")))
-    width = 1 + (rows.agg(F.max(found)).first()[0] or 0)
+    if width is None:
+        width = 1 + (rows.agg(F.max(separators(F.col("record"), separator))).first()[0] or 0)
     names = [f"c{i}" for i in range(width)]
     options = {**TEXT_OPTIONS, "sep": separator, "maxCharsPerColumn": -1, "maxColumns": width + 1}
     parsed = F.from_csv("record", ", ".join(f"{n} string" for n in names), {k: str(v) for k, v in options.items()})
@@ -94,7 +94,7 @@ def tsv_frequencies(spark: SparkSession, paths: list[str], dataset: Column | Non
     dataset are added up. Names that occur twice in a header get their position, columns without a name
     are called ``_c`` + position.
     """
-    rows = cells_of_records(records(spark, paths))
+    rows = cells_of_records(*wide_records(spark, paths))
     marked = F.concat(F.array(F.lit("")), F.col("cells"))
     exploded = rows.select("file", "row", F.posexplode(marked).alias("place", "value")).withColumn("pos", F.col("place") - 1)
     counted = exploded.where(F.col("value").isNotNull()).groupBy("file", "pos", "value").agg(

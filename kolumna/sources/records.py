@@ -105,6 +105,10 @@ def joined_intervals(rows: DataFrame, separator: str = "\t") -> DataFrame:
     return begun.unionByName(going_on).where("low <= high")
 
 
+def separators(text: Column, separator: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(separator), F.lit("")))
+
+
 def records(spark: SparkSession, paths: list[str], separator: str = "\t") -> DataFrame:
     """(file, row, record) of all records of quoted text files, ``row`` ordered as in the file (a struct).
 
@@ -112,6 +116,11 @@ def records(spark: SparkSession, paths: list[str], separator: str = "\t") -> Dat
     text, quotes inside quotes are doubled. Empty lines are no records. A quote that is never closed makes the rest
     of its file one record, without a line break at the end.
     """
+    return wide_records(spark, paths, separator)[0]
+
+
+def wide_records(spark: SparkSession, paths: list[str], separator: str = "\t") -> tuple[DataFrame, int]:
+    """``records``, and how many cells one of them has at most: separators inside quotes count as well."""
     rows = lines(spark, paths)
     parts = joined_intervals(rows, separator).select(
         F.col("file").alias("f"), F.col("block").alias("b"), "low", "high", "start",
@@ -124,4 +133,5 @@ def records(spark: SparkSession, paths: list[str], separator: str = "\t") -> Dat
     ordered = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
     several = tagged.where("start is not null").groupBy("file", "start").agg(F.array_join(ordered["value"], "\n").alias("record"))
     several = written(several.withColumnRenamed("start", "row"), "joined-records")
-    return alone.unionByName(several).where("record <> ''")
+    most = [df.agg(F.max(separators(F.col(name), separator))).first()[0] or 0 for df, name in ((rows, "value"), (several, "record"))]
+    return alone.unionByName(several).where("record <> ''"), 1 + max(most)
