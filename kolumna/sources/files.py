@@ -94,23 +94,25 @@ def tsv_frequencies(spark: SparkSession, paths: list[str], dataset: Column | Non
     dataset are added up. Names that occur twice in a header get their position, columns without a name
     are called ``_c`` + position.
     """
-    rows = cells_of_records(*wide_records(spark, paths))
+    found, width, heads = wide_records(spark, paths)
+    rows = cells_of_records(found, width).join(F.broadcast(heads), "file", "left")
     marked = F.concat(F.array(F.lit("")), F.col("cells"))
-    exploded = rows.select("file", "row", F.posexplode(marked).alias("place", "value")).withColumn("pos", F.col("place") - 1)
+    exploded = rows.select("file", (F.col("row") == F.col("head")).alias("head"), F.posexplode(marked).alias("place", "value"))
+    exploded = exploded.withColumn("pos", F.col("place") - 1)
+    # A count and a flag are aggregated by hashing: no task sorts its cells.
     counted = exploded.where(F.col("value").isNotNull()).groupBy("file", "pos", "value").agg(
-        F.count("*").alias("n"), F.min("row").alias("first")
+        F.count("*").alias("n"), F.max("head").alias("in_head")
     )
     counted = written(counted, "counted")
-    # The constant cell in front counts the rows of each file.
+    # The constant cell in front counts the rows of each file. Tables of files and columns go to the values, never
+    # the values to them: by file or column a large one would meet in one task.
     is_marker = F.col("pos") == -1
-    files = counted.where(is_marker).select("file", (F.col("n") - 1).alias("rows"), F.col("first").alias("head"))
-    known = counted.where(~is_marker).join(files, "file")
-    in_head = F.col("first") == F.col("head")
-    columns = known.groupBy("file", "pos").agg(
-        F.max(F.when(in_head, F.col("value"))).alias("header"),
-        F.max("rows").alias("rows"),
-        F.sum(F.col("n") - in_head.cast("int")).alias("filled"),
-    )
+    in_head = F.col("in_head")
+    files = counted.where(is_marker).select("file", (F.col("n") - 1).alias("rows"))
+    known = counted.where(~is_marker)
+    filled = known.groupBy("file", "pos").agg(F.sum(F.col("n") - in_head.cast("int")).alias("filled"))
+    headers = known.where(in_head).select("file", "pos", F.col("value").alias("header"))
+    columns = filled.join(files, "file").join(headers, ["file", "pos"], "left")
     repeated = columns.groupBy("file", F.lower("header").alias("name")).agg(F.count("*").alias("times"))
     repeated = repeated.where(F.col("name").isNotNull() & (F.col("times") > 1)).withColumnRenamed("file", "f")
     same = (F.col("file") == F.col("f")) & (F.lower("header") == F.col("name"))
@@ -122,7 +124,7 @@ def tsv_frequencies(spark: SparkSession, paths: list[str], dataset: Column | Non
         "file", "pos", "rows", "filled", name.otherwise(F.col("header")).alias("column_name")
     )
     values = known.withColumn("n", F.col("n") - in_head.cast("int")).where(F.col("n") > 0)
-    values = values.join(named.select("file", "pos", "column_name"), ["file", "pos"])
+    values = values.join(F.broadcast(named.select("file", "pos", "column_name")), ["file", "pos"])
     empties = named.select(
         "file", "column_name", F.lit(None).cast("string").alias("value"), (F.col("rows") - F.col("filled")).alias("n")
     ).where(F.col("n") > 0)

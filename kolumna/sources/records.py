@@ -119,8 +119,14 @@ def records(spark: SparkSession, paths: list[str], separator: str = "\t") -> Dat
     return wide_records(spark, paths, separator)[0]
 
 
-def wide_records(spark: SparkSession, paths: list[str], separator: str = "\t") -> tuple[DataFrame, int]:
-    """``records``, and how many cells one of them has at most: separators inside quotes count as well."""
+def first_rows(rows: DataFrame) -> DataFrame:
+    """(file, head): where the first record of each file starts, which is its first line that is not empty."""
+    starts = rows.where("value <> ''").groupBy("file", "block").agg(F.min("line").alias("line"))
+    return starts.groupBy("file").agg(F.min(F.struct("block", "line")).alias("head"))
+
+
+def wide_records(spark: SparkSession, paths: list[str], separator: str = "\t") -> tuple[DataFrame, int, DataFrame]:
+    """``records``, how many cells one of them has at most (separators inside quotes count as well), and ``first_rows``."""
     rows = lines(spark, paths)
     parts = joined_intervals(rows, separator).select(
         F.col("file").alias("f"), F.col("block").alias("b"), "low", "high", "start",
@@ -134,4 +140,4 @@ def wide_records(spark: SparkSession, paths: list[str], separator: str = "\t") -
     several = tagged.where("start is not null").groupBy("file", "start").agg(F.array_join(ordered["value"], "\n").alias("record"))
     several = written(several.withColumnRenamed("start", "row"), "joined-records")
     most = [df.agg(F.max(separators(F.col(name), separator))).first()[0] or 0 for df, name in ((rows, "value"), (several, "record"))]
-    return alone.unionByName(several).where("record <> ''"), 1 + max(most)
+    return alone.unionByName(several).where("record <> ''"), 1 + max(most), first_rows(rows)
