@@ -70,10 +70,10 @@ def tsv_frequencies(spark, sf):
 
 
 def split_frequencies(spark, sf):
-    """One plain file for each table, read by as many tasks as it has splits."""
+    """Plain files, as many as a table has parts, each read by as many tasks as it has splits."""
     folder = scratch_folder(spark, "plain")
     for name in PLAIN:
-        sinks.write_tsv(dataset(spark, sf, name).coalesce(1), f"{folder}/{name}", "none")
+        sinks.write_tsv(dataset(spark, sf, name), f"{folder}/{name}", "none")
     paths = [row.path for row in files.list_files(spark, folder).where("path like '%.csv'").collect()]
     return files.tsv_frequencies(spark, paths, folder_name("file"))
 
