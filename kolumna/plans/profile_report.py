@@ -20,9 +20,11 @@ def column_records(frequencies: DataFrame, first_year: int = 1850, last_year: in
     """One record per column with its metadata, type statistics and itemset.
 
     Values without a type, such as those of a date column outside the years, are in none of the
-    statistics; ``number_untyped_cells`` counts them.
+    statistics; ``number_untyped_cells`` counts them. Several aggregates read the typed values, so these are written
+    once: a value is counted and typed once.
     """
-    typed = profile.with_types(frequencies, first_year, last_year)
+    typed = written(profile.with_types(frequencies, first_year, last_year), "typed-frequencies")
+    frequencies = typed.select(*KEYS, "value", "n")
     stats = profile.type_stats(typed)
     untyped = typed.groupBy(*KEYS).agg(
         F.sum(F.when(F.col("type").isNull() & F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("number_untyped_cells")
@@ -39,7 +41,7 @@ def column_records(frequencies: DataFrame, first_year: int = 1850, last_year: in
 def run(cell_rows: DataFrame, first_year: int = 1850, last_year: int = 2019) -> DataFrame:
     """The records of all columns of all datasets.
 
-    The frequency table feeds eight aggregates, so it is written once to the shared folder: the
+    The typed frequency table feeds eight aggregates, so it is written once to the shared folder: the
     source is read once and a lost executor costs no second count.
     """
-    return column_records(written(value_frequencies(cell_rows), "frequencies"), first_year, last_year)
+    return column_records(value_frequencies(cell_rows), first_year, last_year)
