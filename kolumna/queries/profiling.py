@@ -10,6 +10,7 @@ from kolumna.operators import itemsets, metadata, profile
 from kolumna.operators.long_integers import long_integer_stats
 from kolumna.plans import figures, profile_report
 from kolumna.queries.data import cells_sql, dataset, dataset_cells, frequencies_sql, table
+from kolumna.session import written
 
 TYPED = ("customer", "part", "orders", "events", "messy")
 SMALL = ("nation", "customer", "part", "orders", "messy")
@@ -45,7 +46,8 @@ def column_metadata(spark, sf):
 
 
 def text_stats(spark, sf):
-    stats = profile.text_stats(typed_frequencies(spark, sf, *ALL))
+    """Three aggregates read the typed values, which are written once."""
+    stats = profile.text_stats(written(typed_frequencies(spark, sf, *ALL), "typed-frequencies"))
     return stats.select(
         *c.KEYS, "count", joined("shortest_values"), joined("longest_values"), *rounded("average_length")
     )
