@@ -134,15 +134,15 @@ QUERIES = {
     "date_stats": lambda spark, sf: profile.date_stats(typed_cells(spark, sf, *TYPED)),
     "text_stats": text_stats,
     "column_records": column_records,
-    "column_itemsets": lambda spark, sf: itemsets.column_itemsets(typed_cells(spark, sf, *TYPED)),
+    "column_itemsets": lambda spark, sf: itemsets.column_itemsets(typed_frequencies(spark, sf, *TYPED)),
     "dataset_itemsets": lambda spark, sf: itemsets.dataset_itemsets(
-        itemsets.column_itemsets(typed_cells(spark, sf, *TYPED))
+        itemsets.column_itemsets(typed_frequencies(spark, sf, *TYPED))
     ),
     "total_itemsets": lambda spark, sf: itemsets.total_itemsets(
-        itemsets.dataset_itemsets(itemsets.column_itemsets(typed_cells(spark, sf, *TYPED)))
+        itemsets.dataset_itemsets(itemsets.column_itemsets(typed_frequencies(spark, sf, *TYPED)))
     ),
     "most_frequent_itemsets": lambda spark, sf: itemsets.most_frequent_itemsets(
-        itemsets.total_itemsets(itemsets.dataset_itemsets(itemsets.column_itemsets(typed_cells(spark, sf, *TYPED))))
+        itemsets.total_itemsets(itemsets.dataset_itemsets(itemsets.column_itemsets(typed_frequencies(spark, sf, *TYPED))))
     ),
 }
 
