@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kolumna.operators.overlap import in_parts
+from kolumna.session import written
+
 
 def catalog_name(dataset, column_name):
     """The listed file name of a column: the dataset's name to its first point, column, suffix."""
@@ -29,11 +32,13 @@ def predictions(records: DataFrame) -> DataFrame:
 def aligned(truth_rows: DataFrame, predicted: DataFrame) -> DataFrame:
     """Every true label of a column beside every prediction for it; either side may be missing.
 
-    Counted rows are joined, so many equal labels of a column are one row with their number.
+    Counted rows are joined, so many equal labels of a column are one row with their number. They are written, as
+    their number tells into how many parts they are joined.
     """
-    a = truth_rows.groupBy("column_name", "true_label").agg(F.count("*").alias("n_true"))
-    b = predicted.groupBy("column_name", "semantic_type").agg(F.count("*").alias("n_predicted"))
-    both = a.join(b, "column_name", "full_outer")
+    a = written(truth_rows.groupBy("column_name", "true_label").agg(F.count("*").alias("n_true")), "truth")
+    b = written(predicted.groupBy("column_name", "semantic_type").agg(F.count("*").alias("n_predicted")), "predictions")
+    rows = a.count() + b.count()
+    both = in_parts(a, rows, "column_name").join(in_parts(b, rows, "column_name"), "column_name", "full_outer")
     n = F.coalesce("n_true", F.lit(1)) * F.coalesce("n_predicted", F.lit(1))
     return both.select("column_name", "true_label", "semantic_type", n.alias("n"))
 

@@ -10,7 +10,7 @@ from kolumna.functions import text as tx
 from kolumna.operators import cells as c
 from kolumna.operators import evaluation as ev
 from kolumna.operators import matching as m
-from kolumna.operators import nearest_search
+from kolumna.operators import nearest_search, overlap
 from kolumna.operators import reference_sets as rs
 from kolumna.operators import semantics as sem
 from kolumna.plans import semantic_typing
@@ -173,16 +173,20 @@ def order_truth(spark, sf):
 
 
 def order_records(spark, sf):
-    """Result records made of line items: the states of an order's lines, returns as ``other``."""
+    """Result records made of line items: the states of an order's lines, returns as ``other``. An order's different
+    lines are collected by its number, in partitions that grow with the lines; its name is made once."""
     lines = table(spark, sf, "lineitem")
     kinds = F.array(
         F.struct(F.col("l_linestatus").alias("semantic_type"), F.lit(None).cast("string").alias("label")),
         F.struct(F.lit("other").alias("semantic_type"), F.col("l_returnflag").alias("label")),
     )
-    return lines.select(
-        ev.catalog_name(F.concat(F.lit("orders"), F.col("l_orderkey")), F.lit("state")).alias("column_name"),
-        F.explode(kinds).alias("t"),
-    ).groupBy("column_name").agg(F.sort_array(F.collect_set("t")).alias("semantic_types"))
+    different = overlap.in_parts(lines.select("l_orderkey", "l_linestatus", "l_returnflag").distinct(), lines.count(), "l_orderkey")
+    states = different.select("l_orderkey", F.explode(kinds).alias("t")).groupBy("l_orderkey").agg(
+        F.sort_array(F.collect_set("t")).alias("semantic_types")
+    )
+    return states.select(
+        ev.catalog_name(F.concat(F.lit("orders"), F.col("l_orderkey")), F.lit("state")).alias("column_name"), "semantic_types"
+    )
 
 
 def aligned(spark, sf):
