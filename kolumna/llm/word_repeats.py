@@ -27,7 +27,7 @@ SPAN, ANCHOR = 50, 8
 #: Windows that a task hashes at a time; longer texts are taken in overlapping parts.
 PART = 1 << 17
 #: Words whose hashes a task keeps at hand.
-WORDS_HELD = 1 << 20
+WORDS_HELD = 1 << 17
 #: A null id is later than any other.
 NO_ID = (1 << 63) - 1
 

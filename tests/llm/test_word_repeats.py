@@ -76,3 +76,9 @@ def test_intervals(spark):
     found = {r.doc_id: r for r in word_repeats.without_repeats(docs, 3, 2).collect()}
     assert [[tuple(x) for x in found[i].intervals] for i in (1, 2, 3)] == [[], [(0, 4)], [(1, 5)]]
     assert [bytes(found[i].kept) for i in (1, 2, 3)] == [b"x a b c d y", b"e f", b"q"]
+
+
+def test_words_at_hand_are_few():
+    known, texts = word_repeats.WordHashes(), [b"%d" % i for i in range(300_000)]
+    first = known.of(texts)
+    assert len(known) <= 1 << 17 and (known.of(texts) == first).all()
