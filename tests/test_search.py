@@ -122,6 +122,38 @@ def test_a_hundred_thousand_targets(spark, monkeypatch):
     assert sum(counted) < 100 * 4 * len(texts) < met / 100, (sum(counted), met)
 
 
+def test_names_that_differ_in_a_number(spark, monkeypatch):
+    """All shingles they share are common ones: strings ask for subsets of them and meet no targets by a single one."""
+    counted = []
+    original = nearest_search.pairs
+
+    def counting(*args):
+        found = original(*args)
+        counted.append(found.count())
+        return found
+
+    monkeypatch.setattr(nearest_search, "pairs", counting)
+    refs = refs_of(spark, [("abc"[i % 3], f"Customer#{i:09d}", i) for i in range(1, 2001)] * 2 + [("c", "Customer", 0), ("a", "lie-1-2", 0)])
+    refs = spark.createDataFrame(refs.collect(), refs.schema)
+    texts = [f"Supplier-{i:06d}" for i in range(1, 2200, 23)]
+    rows = strings_of(spark, texts)
+    assert same_rows(nearest_search.nearest(rows, refs, ["k"]), matching.nearest(rows, refs, ["k"]), ["k"])
+    assert sum(counted) == 0, counted
+
+
+def test_short_and_long_ones_by_subsets_and_by_shingles(spark, monkeypatch):
+    rng = random.Random(6)
+    targets = {(rng.choice("abc"), odd_text(rng)) for _ in range(120)}
+    refs = refs_of(spark, [(t, v, rng.randint(1, 50)) for t, v in sorted(targets)])
+    refs = spark.createDataFrame(refs.collect(), refs.schema)
+    rows = strings_of(spark, [odd_text(rng) for _ in range(150)] + ["", None])
+    plain = matching.nearest(rows, refs, ["k"])
+    for short, few in ((1, 400_000), (5, 0)):
+        monkeypatch.setattr(nearest_search, "SHORT", short)
+        monkeypatch.setattr(nearest_search, "FEW_SUBSETS", few)
+        assert same_rows(nearest_search.nearest(rows, refs, ["k"]), plain, ["k"]), short
+
+
 def plain_growth(spark, values, refs, **limits):
     rounds = 0
     while True:
