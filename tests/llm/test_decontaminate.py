@@ -126,3 +126,49 @@ def test_recall_with_many_items(spark):
     print({k: (found[k], asked[k]) for k in sorted(asked)})
     for kind, n in asked:
         assert found[kind, n] >= (1.0 if kind == "verbatim" else 0.8 if n < 10 else 0.95) * asked[kind, n], (kind, n)
+
+
+def test_fit_reads_all_documents(spark, monkeypatch):
+    """Words, lengths and products of every different text, however many documents there are; repeated rows count in the weights."""
+    import numpy as np
+
+    monkeypatch.setattr(decontaminate, "FIT_TEXTS", 5)
+    texts = [f"common words word{i} of{i % 7} document{i} " * (1 + i % 40) for i in range(60)] + ["twice told"] * 2 + ["", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(decontaminate, "latent_basis", lambda words, *rest: seen.append((words, *rest)))
+    monkeypatch.setattr(decontaminate, "Index", lambda block, weights, basis: weights)
+    (weights,) = decontaminate.indexes(rows, spark.createDataFrame([(1, "an item of words")], "item_id long, text string"))
+    words, sent, *_ = seen[0]
+    found = [r for r in words.collect() if r.scale != decontaminate.ITEM_WEIGHT]
+    alone = {t: next(decontaminate.bundles([t])).features for t in texts if t}
+    assert Counter(bytes(r.features) for r in found) == Counter({f.astype("<u2").tobytes(): 1 for f in alone.values()})
+    assert np.allclose([r.scale for r in found], (5 / len(texts)) ** 0.5)
+    segments, total = np.zeros(decontaminate.FEATURES), 0
+    for t in filter(None, texts):
+        for at in range(0, len(alone[t]), decontaminate.STEP):
+            segments[np.unique(alone[t][at : at + decontaminate.STEP])] += 1
+            total += 1
+    assert np.allclose(weights, np.log((1 + total) / (1 + segments)) + 0.01)
+
+
+def test_product_adds_all_passages():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    rows = [rng.choice([3, 3, 3, *range(200)], n) for n in (1, 16, 17, 40, 500)]
+    weights = rng.random(decontaminate.FEATURES).astype(np.float32) + 0.1
+    table = decontaminate.weighted_rows(rng.random((decontaminate.FEATURES, 3)), weights)
+    total, plain, lengths = np.zeros((decontaminate.FEATURES, 3), dtype=np.float32), np.zeros((decontaminate.FEATURES, 3)), []
+    for row in rows:
+        one = []
+        for at in range(0, max(1, len(row) - decontaminate.STEP), decontaminate.STEP):
+            passage = row[at : at + decontaminate.PASSAGE]
+            norm = np.sqrt(((np.bincount(passage, minlength=decontaminate.FEATURES) * weights) ** 2).sum())
+            np.add.at(plain, passage, 4 * table[passage].astype(float).sum(axis=0) / norm**2)
+            one.append(norm)
+        found = decontaminate._lengths(decontaminate.passages_of([row.astype("<u2").tobytes()]), weights)
+        assert np.allclose(found, one)
+        lengths.append(found.astype("<f4").tobytes())
+    decontaminate.add_product(total, table, [row.astype("<u2").tobytes() for row in rows], lengths, [2.0] * len(rows))
+    assert np.allclose(total, plain, rtol=1e-4)
