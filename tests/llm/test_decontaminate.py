@@ -136,11 +136,10 @@ def test_fit_reads_all_documents(spark, monkeypatch):
     texts = [f"common words word{i} of{i % 7} document{i} " * (1 + i % 40) for i in range(60)] + ["twice told"] * 2 + ["", None]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     seen = []
-    monkeypatch.setattr(decontaminate, "latent_basis", lambda words, *rest: seen.append((words, *rest)))
+    monkeypatch.setattr(decontaminate, "latent_basis", lambda words, *rest: seen.extend(words.collect()))
     monkeypatch.setattr(decontaminate, "Index", lambda block, weights, basis: weights)
     (weights,) = decontaminate.indexes(rows, spark.createDataFrame([(1, "an item of words")], "item_id long, text string"))
-    words, sent, *_ = seen[0]
-    found = [r for r in words.collect() if r.scale != decontaminate.ITEM_WEIGHT]
+    found = [r for r in seen if r.scale != decontaminate.ITEM_WEIGHT]
     alone = {t: next(decontaminate.bundles([t])).features for t in texts if t}
     assert Counter(bytes(r.features) for r in found) == Counter({f.astype("<u2").tobytes(): 1 for f in alone.values()})
     assert np.allclose([r.scale for r in found], (5 / len(texts)) ** 0.5)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from collections import Counter, defaultdict
 
 from fixtures import SF_DIR, edge_rows, read
@@ -69,3 +70,17 @@ def test_run_shows_the_mixture(spark, monkeypatch):
         members.sort(key=lambda r: r.place)
         assert [r.place for r in members] == list(range(1, len(members) + 1))
         assert [r.slot for r in members] == sorted(r.slot for r in members)
+
+
+def test_benchmark_stage_fits_all_documents(spark, monkeypatch):
+    """The singular vectors see every different text of the stage; what the fit has written goes when it is done."""
+    monkeypatch.setattr(decontaminate, "FIT_TEXTS", 5)
+    seen, fit, gone, discard = [], decontaminate.latent_basis, [], decontaminate.discard
+    monkeypatch.setattr(decontaminate, "latent_basis", lambda words, *rest: seen.append(words.where("scale < 1").count()) or fit(words, *rest))
+    monkeypatch.setattr(decontaminate, "discard", lambda words: gone.append(words.inputFiles()) or discard(words))
+    docs = read(spark).limit(40)
+    corpus_pipeline.without_benchmark(spark, docs, SF_DIR).count()
+    texts = {r.text for r in docs.collect() if decontaminate.words_of(r.text)}
+    assert len(texts) > 20 and seen == [sum(len(t.lower().encode()) // decontaminate.PART + 1 for t in texts)]
+    paths = [f.removeprefix("file:").replace("//", "/") for files in gone for f in files]
+    assert len(gone) == 3 and paths and not any(os.path.exists(p) for p in paths)
